@@ -1 +1,212 @@
-"""Queries over vectors."""
+"""Embedding, reduction and neighbour graphs over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from textloom.catalog.base import query, table
+from textloom.operators.affinity import conditional_affinities, fuzzy_graph, membership, perplexity_affinities
+from textloom.operators.embed import audit, embed, hash_embed, is_bad, model_embed, tokens
+from textloom.operators.neighbors import knn_graph
+from textloom.operators.reduce import covariance, pca, pre_reduce, reduce
+from textloom.session import materialize
+
+WIDTH = 8
+
+
+def entry_sql(token: str, k: int) -> str:
+    digest = f"md5('{k // 4}:' || {token})"
+    return f"(CAST(('0x' || substr({digest}, {1 + 8 * (k % 4)}, 8)) AS BIGINT) / 4294967296.0 - 0.5)"
+
+
+TOKENS_SQL = """
+tok AS (SELECT doc_id, [t FOR t IN string_split_regex(text, '\\s+') IF t <> ''] AS ts FROM documents),
+words AS (SELECT doc_id, unnest(ts) AS t FROM tok)
+"""
+
+
+@query("hash_embed_mean", "WITH " + TOKENS_SQL + "SELECT doc_id, " + ", ".join(
+    f"round(CAST(CAST(avg({entry_sql('t', k)}) AS FLOAT) AS DOUBLE), 5) AS v{k}" for k in range(WIDTH)) + " FROM words GROUP BY 1")
+def hash_embed_mean(spark, folder):
+    vectors = embed(table(spark, folder, "documents"), hash_embed(F.col("text"), WIDTH), ["doc_id"])
+    return vectors.select("doc_id", *[F.round(F.col("embeddings")[k].cast("double"), 5).alias(f"v{k}") for k in range(WIDTH)])
+
+
+@query("hash_embed_last", "WITH " + TOKENS_SQL + "SELECT doc_id, " + ", ".join(
+    f"round(CAST(CAST({entry_sql('ts[len(ts)]', k)} AS FLOAT) AS DOUBLE), 5) AS v{k}" for k in range(WIDTH)) + " FROM tok WHERE len(ts) > 0")
+def hash_embed_last(spark, folder):
+    vectors = embed(table(spark, folder, "documents"), hash_embed(F.col("text"), WIDTH, "last_token"), ["doc_id"])
+    return vectors.select("doc_id", *[F.round(F.col("embeddings")[k].cast("double"), 5).alias(f"v{k}") for k in range(WIDTH)])
+
+
+@query("token_truncation", "WITH " + TOKENS_SQL + """
+SELECT doc_id, len(ts) AS tokens, least(len(ts), 64) AS kept, CASE WHEN len(ts) > 0 THEN ts[least(len(ts), 64)] END AS last_kept FROM tok""")
+def token_truncation(spark, folder):
+    text = F.col("text")
+    cut = tokens(text, 64)
+    return table(spark, folder, "documents").select(
+        "doc_id", F.size(tokens(text)).alias("tokens"), F.size(cut).alias("kept"), F.try_element_at(cut, F.lit(-1)).alias("last_kept"))
+
+
+@query("model_inference", "SELECT doc_id, CAST(length(text) AS DOUBLE) AS chars, "
+       "CAST(length(text) - length(replace(text, chr(10), '')) + 1 AS DOUBLE) AS lines FROM documents")
+def model_inference(spark, folder):
+    def make_predict_fn():
+        import numpy as np
+
+        def predict(texts):
+            return np.array([[len(t), t.count("\n") + 1] for t in texts], dtype=np.float32)
+
+        return predict
+
+    vectors = embed(table(spark, folder, "documents"), model_embed(F.col("text"), make_predict_fn, 256), ["doc_id"])
+    return vectors.select("doc_id", F.col("embeddings")[0].cast("double").alias("chars"), F.col("embeddings")[1].cast("double").alias("lines"))
+
+
+@query("embedding_projection", "SELECT vec_id AS id, len(embedding) AS width FROM embeddings")
+def embedding_projection(spark, folder):
+    vectors = table(spark, folder, "embeddings").withColumnRenamed("vec_id", "id")
+    return embed(vectors, F.col("embedding")).select("id", F.size("embeddings").alias("width"))
+
+
+def damaged(spark, folder):
+    """Entries above 0.45 become NaN, below -0.45 null."""
+    return table(spark, folder, "embeddings").withColumn("embedding", F.transform("embedding", lambda x: F.when(
+        x > 0.45, F.lit(float("nan")).cast("float")).when(x >= -0.45, x)))
+
+
+BAD_SQL = "len([x FOR x IN embedding IF abs(x) > CAST(0.45 AS DOUBLE)]) > 0"
+
+
+@query("nan_audit", f"SELECT label, count(*) FILTER (WHERE {BAD_SQL}) AS bad, count(*) AS total FROM embeddings GROUP BY 1")
+def nan_audit(spark, folder):
+    return audit(damaged(spark, folder), "embedding", ["label"])
+
+
+@query("invalid_mask", f"SELECT vec_id, {BAD_SQL} AS bad FROM embeddings")
+def invalid_mask(spark, folder):
+    return damaged(spark, folder).select("vec_id", is_bad(F.col("embedding")).alias("bad"))
+
+
+@query("covariance", """
+WITH d AS (SELECT vec_id, i, embedding[i + 1] AS v FROM embeddings, range(64) r(i))
+SELECT a.i, b.i AS j, round(covar_samp(CAST(a.v AS DOUBLE), CAST(b.v AS DOUBLE)), 6) + 0.0 AS cov
+FROM d a JOIN d b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY 1, 2""")
+def covariance_of_embeddings(spark, folder):
+    df = covariance(table(spark, folder, "embeddings"), "embedding", 64)
+    return df.withColumn("cov", F.round("cov", 6) + 0.0)
+
+
+@query("pca_2d")
+def pca_2d(spark, folder):
+    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["pca", "no such method"])
+
+
+@query("pca_with_gaps", f"SELECT vec_id, {BAD_SQL} AS empty FROM embeddings")
+def pca_with_gaps(spark, folder):
+    points = reduce(damaged(spark, folder), ["vec_id"], "embedding", ["pca"])
+    return points.select("vec_id", (F.isnan("pca_2d_x") & F.isnan("pca_2d_y")).alias("empty"))
+
+
+@query("pca_50", "SELECT count(*) AS n, 50 AS width FROM embeddings")
+def pca_50(spark, folder):
+    narrow = pre_reduce(table(spark, folder, "embeddings"), "embedding", 64, "narrow")
+    return narrow.agg(F.count("narrow").alias("n"), F.max(F.size("narrow")).alias("width"))
+
+
+KNN_SQL = """
+pairs AS (
+  SELECT a.vec_id AS src, b.vec_id AS dst,
+         list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS dist
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+knn AS (
+  SELECT src, dst, dist, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY src ORDER BY dist, dst) <= 15)
+"""
+
+
+def graph(spark, folder):
+    return knn_graph(table(spark, folder, "embeddings"), "vec_id", "embedding", 15)
+
+
+@query("knn_graph", f"WITH {KNN_SQL} SELECT src, dst, rank, round(dist, 6) AS dist FROM knn")
+def knn(spark, folder):
+    return graph(spark, folder).withColumn("dist", F.round("dist", 6))
+
+
+# Copies: each vector rounded hard, so that many are equal.
+@query("knn_with_copies", """
+WITH e AS (SELECT vec_id, [CAST(round(CAST(embedding[i] AS DOUBLE) * 6) AS DOUBLE) FOR i IN range(1, 5)] AS embedding FROM embeddings),
+pairs AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.embedding, b.embedding) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
+SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank, round(dist, 6) AS dist FROM pairs
+QUALIFY row_number() OVER (PARTITION BY src ORDER BY dist, dst) <= 15""")
+def knn_with_copies(spark, folder):
+    coarse = table(spark, folder, "embeddings").select("vec_id", F.transform(
+        F.slice("embedding", 1, 4), lambda x: F.round(x.cast("double") * 6)).alias("embedding"))
+    return knn_graph(coarse, "vec_id", "embedding", 15, cell_rows=50).withColumn("dist", F.round("dist", 6))
+
+
+PERPLEXITY_SQL = f"""
+{KNN_SQL},
+lists AS (SELECT src, list(dist * dist - m ORDER BY rank) AS d2, list(dst ORDER BY rank) AS dsts
+          FROM (SELECT *, min(dist * dist) OVER (PARTITION BY src) AS m FROM knn) GROUP BY src),
+b AS (
+  SELECT 0 AS step, src, d2, CAST(0 AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, CAST(1 AS DOUBLE) AS beta FROM lists
+  UNION ALL
+  SELECT step + 1, src, d2, CASE WHEN h > ln(5) THEN beta ELSE lo END, CASE WHEN h > ln(5) THEN hi ELSE beta END,
+         CASE WHEN h > ln(5) THEN CASE WHEN hi IS NULL THEN beta * 2 ELSE (beta + hi) / 2 END ELSE (lo + beta) / 2 END
+  FROM (SELECT *, ln(list_sum([exp(-d * beta) FOR d IN d2])) +
+               beta * list_sum([d * exp(-d * beta) FOR d IN d2]) / list_sum([exp(-d * beta) FOR d IN d2]) AS h FROM b)
+  WHERE step < 64),
+solved AS (SELECT src, dsts, l.d2, beta FROM b JOIN lists l USING (src) WHERE step = 64),
+p AS (SELECT src, unnest(dsts) AS dst, unnest([exp(-d * beta) / list_sum([exp(-e * beta) FOR e IN d2]) FOR d IN d2]) AS p FROM solved)
+"""
+
+
+@query("conditional_affinities", f"WITH RECURSIVE {PERPLEXITY_SQL} SELECT src, dst, round(p, 6) AS p FROM p")
+def conditional(spark, folder):
+    return conditional_affinities(materialize(graph(spark, folder), "knn"), 5.0).withColumn("p", F.round("p", 6))
+
+
+@query("tsne_affinities", f"""WITH RECURSIVE {PERPLEXITY_SQL}
+SELECT src, dst, round(sum(p) / (2 * (SELECT count(*) FROM embeddings)), 8) AS p
+FROM (SELECT src, dst, p FROM p UNION ALL SELECT dst, src, p FROM p) GROUP BY 1, 2""")
+def tsne_affinities(spark, folder):
+    return perplexity_affinities(materialize(graph(spark, folder), "knn"), 5.0).withColumn("p", F.round("p", 8))
+
+
+FUZZY_SQL = f"""
+{KNN_SQL},
+lists AS (SELECT src, list(greatest(dist - rho, 0) ORDER BY rank) AS gap, list(dst ORDER BY rank) AS dsts, avg(dist) * 0.001 AS floor
+          FROM (SELECT *, coalesce(min(CASE WHEN dist > 0 THEN dist END) OVER (PARTITION BY src), 0) AS rho FROM knn) GROUP BY src),
+b AS (
+  SELECT 0 AS step, src, gap, CAST(0 AS DOUBLE) AS lo, CAST(NULL AS DOUBLE) AS hi, CAST(1 AS DOUBLE) AS sigma FROM lists
+  UNION ALL
+  SELECT step + 1, src, gap, CASE WHEN h < log2(15) THEN sigma ELSE lo END, CASE WHEN h < log2(15) THEN hi ELSE sigma END,
+         CASE WHEN h < log2(15) THEN CASE WHEN hi IS NULL THEN sigma * 2 ELSE (sigma + hi) / 2 END ELSE (lo + sigma) / 2 END
+  FROM (SELECT *, list_sum([exp(-g / sigma) FOR g IN gap]) AS h FROM b) WHERE step < 64),
+solved AS (SELECT src, dsts, l.gap, greatest(sigma, floor) AS sigma FROM b JOIN lists l USING (src) WHERE step = 64),
+w AS (SELECT src, unnest(dsts) AS dst, unnest([exp(-g / sigma) FOR g IN gap]) AS w FROM solved)
+"""
+
+
+@query("fuzzy_membership", f"WITH RECURSIVE {FUZZY_SQL} SELECT src, dst, round(w, 6) AS w FROM w")
+def fuzzy_membership(spark, folder):
+    return membership(materialize(graph(spark, folder), "knn"), 15).withColumn("w", F.round("w", 6))
+
+
+@query("fuzzy_graph", f"""WITH RECURSIVE {FUZZY_SQL}
+SELECT src, dst, round(sum(w) - CASE WHEN count(*) = 2 THEN max(w) * min(w) ELSE 0 END, 6) AS w
+FROM (SELECT src, dst, w FROM w UNION ALL SELECT dst, src, w FROM w) GROUP BY 1, 2""")
+def fuzzy(spark, folder):
+    return fuzzy_graph(materialize(graph(spark, folder), "knn"), 15).withColumn("w", F.round("w", 6))
+
+
+@query("tsne_2d")
+def tsne_2d(spark, folder):
+    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["tsne"])
+
+
+@query("umap_2d")
+def umap_2d(spark, folder):
+    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["umap"])

@@ -40,13 +40,12 @@ def hash_embed(text: Column, width: int, pooling: str = "mean_pooling", max_toke
         vector = F.array(*[token_entry(last, k) for k in range(width)])
     elif pooling == "mean_pooling":
         blocks = range(-(-width // _PER_DIGEST))
+        digests = F.transform(words, lambda w: F.array(*[F.md5(F.concat(F.lit(f"{b}:"), w).cast("binary")) for b in blocks]))
 
-        def add(sums: Column, word: Column) -> Column:
-            digests = [F.md5(F.concat(F.lit(f"{b}:"), word).cast("binary")) for b in blocks]
-            return F.array(*[sums[k] + _digest_entry(digests[k // _PER_DIGEST], k) for k in range(width)])
+        def add(sums: Column, digest: Column) -> Column:
+            return F.array(*[sums[k] + _digest_entry(digest[k // _PER_DIGEST], k) for k in range(width)])
 
-        zeros = F.array(*[F.lit(0.0)] * width)
-        total = F.aggregate(words, zeros, add)
+        total = F.aggregate(digests, F.array(*[F.lit(0.0)] * width), add)
         vector = F.transform(total, lambda v: v / F.size(words))
     else:
         raise ValueError(f"unknown pooling {pooling!r}")
