@@ -6,18 +6,19 @@ end, and the field of all points outside the block, and lets its own points move
 of steps; then the new places are written and exchanged. So the edges are shuffled once a
 round and not once a step.
 
-Repulsion between all pairs is never enumerated: points are summed onto the nodes of a
-grid, and the kernel is applied to the nodes. The grid is all that reaches the driver, and
-the number of its nodes has a bound that does not depend on the number of points. A point
-with very many edges takes part as several copies, each with a share of the edges, which
-are averaged after the round. There is no random source, so a layout repeats.
+Repulsion between all pairs is enumerated inside a block only. What lies outside acts
+through a grid: points are summed onto its nodes, the kernel is applied to the nodes, and
+the field is read between them. The grid is all that reaches the driver, and the number of
+its nodes has a bound that does not depend on the number of points. A point with very many
+edges takes part as several copies, each with a share of the edges, which are averaged
+after the round. There is no random source.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 from textloom.session import materialize, remove, scratch_path
 
 # Limits of a block, and the edges after which a point is copied.
-BLOCK_POINTS = 4096
-BLOCK_EDGES = 1_000_000
+BLOCK_POINTS = 1024
+BLOCK_EDGES = 500_000
 HUB_EDGES = 50_000
 
 # Grid: spacing of nodes at best, and nodes per side before the spacing is doubled.
-SPACING = 0.4
-SIDE = 256
+SPACING = 0.2
+SIDE = 1024
 
 # Curve of the low-dimensional similarity for min_dist 0.1 and spread 1,
 # bound on one coordinate of one force, and its softening at distance zero.
@@ -41,7 +42,7 @@ CURVE_A, CURVE_B = 1.577, 0.895
 FORCE_BOUND = 4.0
 SOFTENING = 0.001
 
-Kernel = Callable[[np.ndarray, float], np.ndarray]
+Kernel = Callable[[np.ndarray], np.ndarray]
 
 
 # -- grid ---------------------------------------------------------------------------
@@ -49,34 +50,38 @@ Kernel = Callable[[np.ndarray, float], np.ndarray]
 
 @dataclass
 class Charges:
-    """Sums at grid nodes: how many points, and their coordinates."""
+    """Sums at grid nodes: how many points, and their coordinates. ``own`` counts what part
+    of its own weight a point meets at distance zero, one node and one diagonal."""
 
     x: np.ndarray
     y: np.ndarray
     sums: np.ndarray
+    own: np.ndarray
     spacing: float
 
 
-def node_spacing(span: float) -> float:
-    """The finest spacing that keeps the grid within its bound."""
-    return SPACING * 2.0 ** max(0, math.ceil(math.log2(max(span, 1e-300) / SIDE / SPACING)))
+def node_spacing(span: float, finest: float = SPACING) -> float:
+    """The finest spacing, or as many times doubled as keeps the grid within its bound."""
+    return finest * 2.0 ** max(0, math.ceil(math.log2(max(span, 1e-300) / SIDE / finest)))
 
 
 def total_charges(points: DataFrame, spacing: float) -> Charges:
     """Each point shared out to the four nodes around it, summed per node over all points."""
     nodes = points.sparkSession.sql(
         """
-        SELECT i, j, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy FROM (
-          SELECT x, y, inline(array(
+        SELECT i, j, sum(w) AS n, sum(w * x) AS sx, sum(w * y) AS sy,
+               sum(w * a) AS own_0, sum(w * b) AS own_1, sum(w * c) AS own_2 FROM (
+          SELECT x, y, (1 - p) * (1 - q) AS a, p * (1 - q) + (1 - p) * q AS b, p * q AS c, inline(array(
             struct(i AS i, j AS j, (1 - u) * (1 - v) AS w), struct(i AS i, j + 1 AS j, (1 - u) * v AS w),
             struct(i + 1 AS i, j AS j, u * (1 - v) AS w), struct(i + 1 AS i, j + 1 AS j, u * v AS w)))
-          FROM (SELECT x, y, floor(x / :h) AS i, floor(y / :h) AS j,
-                       x / :h - floor(x / :h) AS u, y / :h - floor(y / :h) AS v FROM {points}))
+          FROM (SELECT *, 2 * u * (1 - u) AS p, 2 * v * (1 - v) AS q FROM (
+            SELECT x, y, floor(x / :h) AS i, floor(y / :h) AS j,
+                   x / :h - floor(x / :h) AS u, y / :h - floor(y / :h) AS v FROM {points})))
         GROUP BY i, j
         """, args={"h": spacing}, points=points).toArrow()
-    at = [nodes[c].to_numpy() for c in ("i", "j")]
-    sums = np.stack([nodes[c].to_numpy() for c in ("n", "sx", "sy")]) if len(nodes) else np.zeros((3, 0))
-    return Charges(at[0] * spacing, at[1] * spacing, sums, spacing)
+    columns = {c: nodes[c].to_numpy() for c in nodes.column_names}
+    return Charges(columns["i"] * spacing, columns["j"] * spacing, np.stack([columns[c] for c in ("n", "sx", "sy")]),
+                   np.array([columns[f"own_{c}"].sum() for c in range(3)]), spacing)
 
 
 def _corners(place: np.ndarray, low: np.ndarray, spacing: float, columns: int):
@@ -88,79 +93,88 @@ def _corners(place: np.ndarray, low: np.ndarray, spacing: float, columns: int):
     return [(at, (1 - u) * (1 - v)), (at + 1, (1 - u) * v), (at + columns, u * (1 - v)), (at + columns + 1, u * v)]
 
 
+def outside_of(total: Charges, place: np.ndarray) -> Charges:
+    """All charges less those of the given points."""
+    h = total.spacing
+    low = np.array([total.x.min(), total.y.min()])
+    i, j = (np.rint((at - start) / h).astype(np.int64) for at, start in zip((total.x, total.y), low))
+    columns = int(j.max()) + 2
+    dense = np.zeros((3, (int(i.max()) + 2) * columns))
+    dense[:, i * columns + j] = total.sums
+    for at, weight in _corners(place, low, h, columns):
+        for n, values in enumerate((np.ones(len(place)), *place.T)):
+            dense[n] -= np.bincount(at, weight * values, dense.shape[1])
+    part = place / h - np.floor(place / h)
+    p, q = (2 * part * (1 - part)).T
+    own = total.own - np.array([((1 - p) * (1 - q)).sum(), (p * (1 - q) + (1 - p) * q).sum(), (p * q).sum()])
+    at = np.nonzero(dense[0] > 1e-9)[0]
+    return Charges(low[0] + (at // columns) * h, low[1] + (at % columns) * h, dense[:, at], own, h)
+
+
 @dataclass
 class Field:
-    """Repulsion field of fixed outside charges and moving own points. Which sums each
-    kernel applies to: 0 the count, 1 and 2 the coordinates."""
+    """What the charges outside a block do inside it. Each kernel names the sums it applies
+    to: 0 the count, 1 and 2 the coordinates."""
 
     outside: Charges
     kernels: list[tuple[Kernel, tuple[int, ...]]]
-    spacing: float
-    low: np.ndarray = field(default=None)
-    shape: tuple[int, int] = (0, 0)
+
+    def __post_init__(self) -> None:
+        self.low, self.shape, self.spacing = None, (0, 0), self.outside.spacing
 
     def _fit(self, place: np.ndarray) -> None:
-        """Make the box hold the points, with room to grow, and spread the outside once."""
+        """Make the grid hold the points, with room to move, and apply the kernels."""
         low, high = place.min(0), place.max(0)
         if self.low is not None and (low >= self.low).all() and (
                 high < self.low + self.spacing * (np.array(self.shape) - 2)).all():
             return
-        if self.outside.x.size:
-            low = np.minimum(low, [self.outside.x.min(), self.outside.y.min()])
-            high = np.maximum(high, [self.outside.x.max(), self.outside.y.max()])
+        at = np.stack([self.outside.x, self.outside.y], axis=1)
+        low, high = np.minimum(low, at.min(0)), np.maximum(high, at.max(0))
         room = 0.1 * (high - low) + 4 * self.spacing
         low, high = low - room, high + room
-        self.spacing = max(self.spacing, node_spacing(float((high - low).max())))
+        self.spacing = node_spacing(float((high - low).max()), self.spacing)
         self.low = np.floor(low / self.spacing) * self.spacing
-        self.shape = tuple(int(n) for n in 16 * np.ceil(((high - self.low) / self.spacing + 3) / 16))
-        offsets = [np.minimum(np.arange(2 * n), 2 * n - np.arange(2 * n)) * self.spacing for n in self.shape]
-        d2 = offsets[0][:, None] ** 2 + offsets[1][None, :] ** 2
-        self.spectra = [np.fft.rfft2(kernel(d2, self.spacing)) for kernel, _ in self.kernels]
-        at = np.stack([self.outside.x, self.outside.y], axis=1)
-        self.fixed_sums = self._deposit(at, self.outside.sums)
-        self.fixed = self._spread(self.fixed_sums)
-
-    def _deposit(self, place: np.ndarray, sums: np.ndarray) -> np.ndarray:
-        rows, columns = self.shape
+        self.shape = rows, columns = tuple(int(n) for n in 16 * np.ceil(((high - self.low) / self.spacing + 3) / 16))
         dense = np.zeros((3, rows * columns))
-        for at, weight in _corners(place, self.low, self.spacing, columns):
+        for node, weight in _corners(at, self.low, self.spacing, columns):
             for n in range(3):
-                dense[n] += np.bincount(at, weight * sums[n], rows * columns)
-        return dense.reshape(3, rows, columns)
-
-    def _spread(self, dense: np.ndarray) -> list[np.ndarray]:
-        size = (2 * self.shape[0], 2 * self.shape[1])
-        waves = np.fft.rfft2(dense, size)
-        return [np.fft.irfft2(waves[n] * spectrum, size)[:self.shape[0], :self.shape[1]]
-                for spectrum, (_, which) in zip(self.spectra, self.kernels) for n in which]
-
-    def read(self, place: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Fields of the own points and of the outside at the own points."""
+                dense[n] += np.bincount(node, weight * self.outside.sums[n], rows * columns)
+        size = (2 * rows, 2 * columns)
+        offsets = [np.minimum(np.arange(n), n - np.arange(n)) * self.spacing for n in size]
+        d2 = offsets[0][:, None] ** 2 + offsets[1][None, :] ** 2
+        waves = np.fft.rfft2(dense.reshape(3, rows, columns), size)
+        self.fields = []
+        for kernel, which in self.kernels:
+            spectrum = np.fft.rfft2(kernel(d2))
+            self.fields += [np.fft.irfft2(waves[n] * spectrum, size)[:rows, :columns] for n in which]
+        self.energy = float((dense[0] * self.fields[0].ravel()).sum())
+
+    def read(self, place: np.ndarray) -> list[np.ndarray]:
+        """The fields at the given places."""
+        if not self.outside.x.size:
+            return [np.zeros(len(place)) for _, which in self.kernels for _ in which]
         self._fit(place)
-        own = self._spread(self._deposit(place, np.stack([np.ones(len(place)), *place.T])))
         corners = _corners(place, self.low, self.spacing, self.shape[1])
-        out = [[sum(f.ravel()[at] * w for at, w in corners) for f in fields] for fields in (own, self.fixed)]
-        return out[0], out[1]
+        return [sum(f.ravel()[at] * w for at, w in corners) for f in self.fields]
 
     def outside_energy(self) -> float:
-        """First field of the outside at the outside."""
-        return float((self.fixed_sums[0] * self.fixed[0]).sum())
+        """The first kernel over all pairs of different points outside."""
+        if not self.outside.x.size:
+            return 0.0
+        h = self.outside.spacing
+        return self.energy - float(self.outside.own @ self.kernels[0][0](np.array([0.0, h**2, 2 * h**2])))
 
 
-def outside_of(total: Charges, place: np.ndarray) -> Charges:
-    """All charges less those of the given points."""
-    low = np.array([total.x.min(), total.y.min()])
-    i = np.rint((total.x - low[0]) / total.spacing).astype(np.int64)
-    j = np.rint((total.y - low[1]) / total.spacing).astype(np.int64)
-    columns = int(j.max()) + 2
-    dense = np.zeros((3, (int(i.max()) + 2) * columns))
-    dense[:, i * columns + j] = total.sums
-    for at, weight in _corners(place, low, total.spacing, columns):
-        for n, values in enumerate((np.ones(len(place)), *place.T)):
-            dense[n] -= np.bincount(at, weight * values, dense.shape[1])
-    kept = dense[0] > 1e-9
-    at = np.nonzero(kept)[0]
-    return Charges(low[0] + (at // columns) * total.spacing, low[1] + (at % columns) * total.spacing, dense[:, kept], total.spacing)
+def between(place: np.ndarray) -> np.ndarray:
+    """Squared distances of all pairs in a block."""
+    norm = (place**2).sum(1)
+    return np.maximum(norm[:, None] + norm[None, :] - 2 * place @ place.T, 0.0)
+
+
+def push_away(place: np.ndarray, kernel: np.ndarray, density: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Sum over all others of kernel times the way from them: those in the block by pair,
+    those outside by their field."""
+    return place * (kernel.sum(1) + density)[:, None] - kernel @ place - at
 
 
 # -- blocks -------------------------------------------------------------------------
@@ -261,7 +275,7 @@ def _rounds(spark: SparkSession, state: DataFrame, edges: DataFrame, n: int, ste
         current = spark.read.schema(schema).parquet(f"{folder}/{number}")
         low_x, high_x, low_y, high_y = current.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y")).first()
         total = total_charges(current, node_spacing(max(high_x - low_x, high_y - low_y)))
-        shared = spark.sparkContext.broadcast(total)
+        shared = spark.sparkContext.broadcast((total.x, total.y, total.sums, total.own, total.spacing))
         first, last = steps * number // rounds, steps * (number + 1) // rounds
 
         own = blocks.join(current, "id")
@@ -282,7 +296,7 @@ def _mover(relax: Relax, shared, first: int, last: int):
     def move(points: pd.DataFrame, met: pd.DataFrame) -> pd.DataFrame:
         points = points.sort_values(["id", "salt"], ignore_index=True)
         met = met.sort_values(["src", "dst"], ignore_index=True)
-        return relax(points, _block(points, met), shared.value, first, last)
+        return relax(points, _block(points, met), Charges(*shared.value), first, last)
 
     return move
 
@@ -300,15 +314,15 @@ def _result(points: pd.DataFrame, place: np.ndarray, speed: np.ndarray, gain: np
 # -- the two layouts ----------------------------------------------------------------
 
 
-def _student(d2: np.ndarray, _: float) -> np.ndarray:
+def _student(d2: np.ndarray) -> np.ndarray:
     return 1 / (1 + d2)
 
 
-def _student_squared(d2: np.ndarray, _: float) -> np.ndarray:
+def _student_squared(d2: np.ndarray) -> np.ndarray:
     return 1 / (1 + d2) ** 2
 
 
-def tsne_layout(start: DataFrame, affinities: DataFrame, steps: int = 500, key: str = "id", rounds: int = 20,
+def tsne_layout(start: DataFrame, affinities: DataFrame, steps: int = 500, key: str = "id", rounds: int = 10,
                 exaggeration: float = 12.0, early: float = 0.25) -> DataFrame:
     """t-SNE by gradient descent with momentum and gains from a PCA start. ``affinities``
     are symmetric ``src, dst, p``; for the first ``early`` share of the steps they are
@@ -320,12 +334,13 @@ def tsne_layout(start: DataFrame, affinities: DataFrame, steps: int = 500, key:
 
     def relax(points: pd.DataFrame, block: Block, total: Charges, first: int, last: int) -> pd.DataFrame:
         speed, gain = points[["ux", "uy"]].to_numpy(), points[["gx", "gy"]].to_numpy()
-        repulsion = Field(outside_of(total, block.place), [(_student, (0,)), (_student_squared, (0, 1, 2))], SPACING)
+        repulsion = Field(outside_of(total, block.place), [(_student, (0,)), (_student_squared, (0, 1, 2))])
         for step in range(first, last):
-            own, out = repulsion.read(block.place)
-            pairs = own[0].sum() + 2 * out[0].sum() + repulsion.outside_energy() - n
-            density = own[1] + out[1]
-            push = (block.place * density[:, None] - np.stack([own[2] + out[2], own[3] + out[3]], axis=1)) / max(pairs, 1e-12)
+            near = _student(between(block.place))
+            np.fill_diagonal(near, 0.0)
+            out = repulsion.read(block.place)
+            pairs = near.sum() + 2 * out[0].sum() + repulsion.outside_energy()
+            push = push_away(block.place, near**2, out[1], np.stack(out[2:], axis=1)) / max(pairs, 1e-12)
             begin = step < early * steps
             pull = block.pull(lambda d2: 1 / (1 + d2))
             slope = 4 * (pull * (exaggeration if begin else 1.0) - push)
@@ -339,7 +354,7 @@ def tsne_layout(start: DataFrame, affinities: DataFrame, steps: int = 500, key:
     return _rounds(start.sparkSession, state, edges, n, steps, rounds, relax).withColumnRenamed("id", key)
 
 
-def umap_layout(start: DataFrame, graph: DataFrame, steps: int = 200, key: str = "id", rounds: int = 20,
+def umap_layout(start: DataFrame, graph: DataFrame, steps: int = 200, key: str = "id", rounds: int = 10,
                 rate: float = 0.1, negatives: float = 5.0) -> DataFrame:
     """UMAP layout from a PCA start. ``graph`` is symmetric ``src, dst, w``. Attraction
     follows the edges; instead of drawing ``negatives`` random points per edge, each point
@@ -349,20 +364,21 @@ def umap_layout(start: DataFrame, graph: DataFrame, steps: int = 200, key: str =
     scale = 10.0 / (largest or 1.0)
     a, b = CURVE_A, CURVE_B
 
-    def repel(d2: np.ndarray, spacing: float) -> np.ndarray:
-        return np.minimum(2 * b / ((SOFTENING + d2) * (1 + a * d2**b)), FORCE_BOUND / np.sqrt(np.maximum(d2, spacing**2)))
+    def repel(d2: np.ndarray) -> np.ndarray:
+        return np.minimum(2 * b / ((SOFTENING + d2) * (1 + a * d2**b)), FORCE_BOUND / np.sqrt(np.maximum(d2, 1e-2)))
 
     def attract(d2: np.ndarray) -> np.ndarray:
         d2 = np.maximum(d2, 1e-12)
         return 2 * a * b * d2 ** (b - 1) / (1 + a * d2**b)
 
     def relax(points: pd.DataFrame, block: Block, total: Charges, first: int, last: int) -> pd.DataFrame:
-        repulsion = Field(outside_of(total, block.place), [(repel, (0, 1, 2))], SPACING)
+        repulsion = Field(outside_of(total, block.place), [(repel, (0, 1, 2))])
         share = points["strength"].to_numpy()[:, None] * (negatives / n)
         for step in range(first, last):
-            own, out = repulsion.read(block.place)
-            density, at_x, at_y = (o + f for o, f in zip(own, out))
-            push = share * (block.place * density[:, None] - np.stack([at_x, at_y], axis=1))
+            near = repel(between(block.place))
+            np.fill_diagonal(near, 0.0)
+            out = repulsion.read(block.place)
+            push = share * push_away(block.place, near, out[0], np.stack(out[1:], axis=1))
             pull = block.pull(attract, FORCE_BOUND)
             block.place = block.place + rate * (1 - step / steps) * (push - 2 * pull)
         return _result(points, block.place, points[["ux", "uy"]].to_numpy(), points[["gx", "gy"]].to_numpy())

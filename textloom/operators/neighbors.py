@@ -107,10 +107,10 @@ def _lower_bounds(d: np.ndarray, cells: Cells, gaps: np.ndarray) -> np.ndarray:
 def probes(queries: DataFrame, cells: Cells, enough: int, second: bool) -> DataFrame:
     """``rep, v, cell`` rows: the cells each query has to look at. The first search takes
     the nearest ones, the second all others its bound ``reach`` does not rule out."""
-    shared = queries.sparkSession.sparkContext.broadcast(cells)
+    shared = queries.sparkSession.sparkContext.broadcast((cells.pivots, cells.inner, cells.outer, cells.size))
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+        known = Cells(*shared.value)
         gaps = _distances(known.pivots, known.pivots) if second else None
         for batch in batches:
             points = _stack(batch["v"])

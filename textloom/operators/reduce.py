@@ -97,7 +97,7 @@ def _tsne_points(vectors: DataFrame, width: int, options: dict) -> DataFrame:
     n = narrow.count()
     perplexity = min(options.get("perplexity", 30.0), (n - 1) / 3)
     edges = perplexity_affinities(_neighbours(narrow, options, min(n - 1, int(3 * perplexity))), perplexity)
-    return tsne_layout(start, materialize(edges, "affinities"), steps=options.get("tsne_steps", 250), key=ROW)
+    return tsne_layout(start, materialize(edges, "affinities"), steps=options.get("tsne_steps", 500), key=ROW)
 
 
 def _umap_points(vectors: DataFrame, width: int, options: dict) -> DataFrame:
