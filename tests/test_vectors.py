@@ -59,7 +59,7 @@ def test_pca_matches_svd(spark):
     centred = X - X.mean(0)
     want = centred @ np.linalg.svd(centred)[2][:2].T
     assert np.allclose(np.abs(got), np.abs(want), atol=1e-9)
-    cov = {(r["i"], r["j"]): r["cov"] for r in covariance(frame(spark, X), "v", 6).collect()}
+    cov = {(r["i"], r["j"]): r["cov"] for r in covariance(frame(spark, X), "v").collect()}
     assert np.allclose([cov[i, j] for i in range(6) for j in range(i, 6)], np.cov(X.T)[np.triu_indices(6)])
 
 

@@ -93,7 +93,7 @@ WITH d AS (SELECT vec_id, i, embedding[i + 1] AS v FROM embeddings, range(64) r(
 SELECT a.i, b.i AS j, round(covar_samp(CAST(a.v AS DOUBLE), CAST(b.v AS DOUBLE)), 6) + 0.0 AS cov
 FROM d a JOIN d b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY 1, 2""")
 def covariance_of_embeddings(spark, folder):
-    df = covariance(table(spark, folder, "embeddings"), "embedding", 64)
+    df = covariance(table(spark, folder, "embeddings"), "embedding")
     return df.withColumn("cov", F.round("cov", 6) + 0.0)
 
 

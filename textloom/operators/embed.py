@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import hashlib
+import re
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Fixed value: hex digits of a digest used for one vector entry.
-_HEX = 8
-_PER_DIGEST = 32 // _HEX
+# Words whose vectors a Python worker keeps at hand.
+MEMO_WORDS = 500_000
 
 
 def tokens(text: Column, max_tokens: int | None = None) -> Column:
@@ -20,36 +23,36 @@ def tokens(text: Column, max_tokens: int | None = None) -> Column:
     return found if max_tokens is None else F.slice(found, 1, max_tokens)
 
 
-def token_entry(token: Column, k: int) -> Column:
-    """Entry ``k`` of the hashed vector of a token, in [-0.5, 0.5)."""
-    digest = F.md5(F.concat(F.lit(f"{k // _PER_DIGEST}:"), token).cast("binary"))
-    return _digest_entry(digest, k)
-
-
-def _digest_entry(digest: Column, k: int) -> Column:
-    part = F.substring(digest, 1 + _HEX * (k % _PER_DIGEST), _HEX)
-    return F.conv(part, 16, 10).cast("double") / F.lit(float(2**32)) - 0.5
+def word_vector(word: str, width: int) -> np.ndarray:
+    """Entries in [-0.5, 0.5) from the 32-bit parts of MD5 digests of ``block:word``."""
+    digests = b"".join(hashlib.md5(f"{block}:{word}".encode()).digest() for block in range(-(-width // 4)))
+    return np.frombuffer(digests, ">u4")[:width] / 2.0**32 - 0.5
 
 
 def hash_embed(text: Column, width: int, pooling: str = "mean_pooling", max_tokens: int | None = None) -> Column:
-    """Model-free baseline: hashed token vectors, pooled. All inside the row, so a text
-    is never blown up into token rows and nothing is shuffled. Null without tokens."""
-    words = tokens(text, max_tokens)
-    if pooling == "last_token":
-        last = F.element_at(words, -1)
-        vector = F.array(*[token_entry(last, k) for k in range(width)])
-    elif pooling == "mean_pooling":
-        blocks = range(-(-width // _PER_DIGEST))
-        digests = F.transform(words, lambda w: F.array(*[F.md5(F.concat(F.lit(f"{b}:"), w).cast("binary")) for b in blocks]))
-
-        def add(sums: Column, digest: Column) -> Column:
-            return F.array(*[sums[k] + _digest_entry(digest[k // _PER_DIGEST], k) for k in range(width)])
-
-        total = F.aggregate(digests, F.array(*[F.lit(0.0)] * width), add)
-        vector = F.transform(total, lambda v: v / F.size(words))
-    else:
+    """Model-free baseline: hashed word vectors, pooled; null without words. Like a model it
+    runs on Arrow batches inside the task, so a text is never blown up into word rows and
+    nothing is shuffled."""
+    if pooling not in ("mean_pooling", "last_token"):
         raise ValueError(f"unknown pooling {pooling!r}")
-    return F.when(F.size(words) > 0, F.transform(vector, lambda v: v.cast("float")))
+
+    @F.pandas_udf("array<float>")
+    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        memo: dict[str, np.ndarray] = {}
+        for batch in batches:
+            out = []
+            for value in batch:
+                words = [w for w in re.split(r"\s+", value or "", flags=re.ASCII) if w][:max_tokens]
+                if pooling == "last_token":
+                    words = words[-1:]
+                if len(memo) > MEMO_WORDS:
+                    memo.clear()
+                for word in set(words) - memo.keys():
+                    memo[word] = word_vector(word, width)
+                out.append(np.mean([memo[w] for w in words], axis=0).astype(np.float32) if words else None)
+            yield pd.Series(out, dtype=object)
+
+    return vectors(text)
 
 
 def model_embed(text: Column, make_predict_fn: Callable, batch_size: int) -> Column:

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -28,14 +29,24 @@ def valid_vectors(df: DataFrame, vector: str) -> DataFrame:
     return df.where(~is_bad(F.col(vector)))
 
 
-def covariance(df: DataFrame, vector: str, width: int) -> DataFrame:
+def covariance(df: DataFrame, vector: str) -> DataFrame:
     """Sample covariance of every pair of dimensions as ``i, j, cov`` rows, ``i <= j``.
-    Each row adds its products of pairs; rows are combined before the shuffle."""
-    v = F.col(vector)
-    pairs = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda i: F.transform(
-        F.sequence(i, F.lit(width - 1)),
-        lambda j: F.struct(i.alias("i"), j.alias("j"), F.get(v, i).alias("a"), F.get(v, j).alias("b"))))))
-    return df.select(pairs.alias("p")).groupBy("p.i", "p.j").agg(F.covar_samp("p.a", "p.b").alias("cov"))
+    Each task adds up the products of its centred rows and passes on one sum per pair."""
+    dense = df.select(F.col(vector).cast("array<double>").alias("v"))
+    stats = dense.select(array_to_vector("v").alias("v")).select(
+        Summarizer.metrics("mean", "count").summary(F.col("v")).alias("s")).first()["s"]
+    mean, n = stats["mean"].toArray(), stats["count"]
+
+    def products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((len(mean), len(mean)))
+        for batch in batches:
+            centred = np.stack(batch["v"].to_numpy()) - mean
+            total += centred.T @ centred
+        i, j = np.triu_indices(len(mean))
+        yield pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "p": total[i, j]})
+
+    partial = dense.mapInPandas(products, "i int, j int, p double")
+    return partial.groupBy("i", "j").agg((F.sum("p") / F.lit(n - 1)).alias("cov"))
 
 
 def pca(df: DataFrame, vector: str, k: int, output: str) -> DataFrame:
