@@ -47,8 +47,9 @@ def hash_embed(text: Column, width: int, pooling: str = "mean_pooling", max_toke
                     words = words[-1:]
                 if len(memo) > MEMO_WORDS:
                     memo.clear()
-                for word in set(words) - memo.keys():
-                    memo[word] = word_vector(word, width)
+                for word in words:
+                    if word not in memo:
+                        memo[word] = word_vector(word, width)
                 out.append(np.mean([memo[w] for w in words], axis=0).astype(np.float32) if words else None)
             yield pd.Series(out, dtype=object)
 
@@ -61,9 +62,16 @@ def model_embed(text: Column, make_predict_fn: Callable, batch_size: int) -> Col
     return predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)(text)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the files give fewer splits than there are cores; a large
+    input has more and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def embed(docs: DataFrame, vector: Column, keys: Sequence[str] = ("id",), name: str = "embeddings") -> DataFrame:
     """Keys and vector only; the text is not copied on."""
-    return docs.select(*keys, vector.alias(name))
+    return spread(docs).select(*keys, vector.alias(name))
 
 
 def is_bad(vector: Column) -> Column:
