@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.functions.text import non_blank, strip
-from textloom.functions.turns import Typed, as_text, field, first_turn, flatten_tools, flatten_turns, is_list, items
+from textloom.functions.turns import (
+    Typed, as_text, field, first_turn, flatten_tools, flatten_turns, is_filled_list, is_list, items,
+)
 
 Strategy = Callable[[T.StructType], Column]
 
@@ -41,13 +43,16 @@ def _turns(schema: T.StructType, name: str) -> Column:
 
 
 def messages_list(schema: T.StructType) -> Column:
-    return F.nullif(_turns(schema, "messages"), F.lit(""))
+    return _turns(schema, "messages")
 
 
 def messages_concat(schema: T.StructType) -> Column:
     strings = [c for c in PLAIN_TEXT_COLUMNS
                if c in schema.names and isinstance(schema[c].dataType, T.StringType)]
-    without_input = F.coalesce(_turns(schema, "messages"), *[_filled(schema, c) for c in strings], _null())
+    without_input = F.coalesce(*[_filled(schema, c) for c in strings], _null())
+    listed = column(schema, "messages")
+    if listed is not None:
+        without_input = F.when(is_list(listed), flatten_turns(listed)).otherwise(without_input)
     given = column(schema, "input")
     if given is None or items(given) is None:
         return without_input
@@ -57,7 +62,7 @@ def messages_concat(schema: T.StructType) -> Column:
     joined = F.concat_ws(
         "\n",
         F.when(~repeated, F.concat(F.lit("System: "), prompt)),
-        F.nullif(flatten_turns(given), F.lit("")),
+        flatten_turns(given),
         F.concat(F.lit("Assistant: "), F.nullif(as_text(column(schema, "output")), F.lit(""))),
     )
     return F.when(is_list(given), joined).otherwise(without_input)
@@ -77,14 +82,15 @@ def rl_blend(schema: T.StructType) -> Column:
     listed = None if truth is None else items(truth)
     if listed is not None:
         truth_text = F.when(~F.coalesce(F.size(listed[0]) == 0, F.lit(False)), truth_text)
-    text = F.concat_ws("\n", F.nullif(flatten_turns(turns), F.lit("")), F.concat(F.lit("Ground truth: "), truth_text))
+    text = F.concat_ws("\n", flatten_turns(turns), F.concat(F.lit("Ground truth: "), truth_text))
     return F.when(is_list(turns), text).otherwise(messages_list(schema))
 
 
 def agentic(schema: T.StructType) -> Column:
     tools = column(schema, "tools")
     tool_text = _null() if tools is None else flatten_tools(tools)
-    return F.nullif(F.concat_ws("\n\n", tool_text, messages_list(schema)), F.lit(""))
+    filled = is_filled_list(tools) | is_filled_list(column(schema, "messages"))
+    return F.when(filled, F.concat_ws("\n\n", tool_text, messages_list(schema)))
 
 
 def math_proof(schema: T.StructType) -> Column:

@@ -12,6 +12,12 @@ EDGE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _JSON_SEPARATOR = r'\G((?:[^",:]++|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+[,:])'
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once. Inside lambdas and conditionals Spark
+    shares no subexpressions."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(text: Column) -> Column:
     """Drop Unicode white space and control separators at both ends."""
     return F.btrim(text, F.lit(EDGE_SPACE))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.functions.text import capitalise, spaced_json
+from textloom.functions.text import capitalise, let, spaced_json
 
 
 class Typed(NamedTuple):
@@ -42,6 +42,11 @@ def items(value: Typed) -> tuple[Column, T.DataType] | None:
     return None
 
 
+def is_filled_list(value: Typed | None) -> Column:
+    found = None if value is None else items(value)
+    return F.lit(False) if found is None else F.coalesce(F.size(found[0]) > 0, F.lit(False))
+
+
 def is_list(value: Typed) -> Column:
     found = items(value)
     return F.lit(False) if found is None else found[0].isNotNull()
@@ -109,19 +114,28 @@ def _calls_text(calls: Typed | None) -> Column:
 
 def _turn_text(turn: Typed) -> Column:
     role = F.coalesce(as_text(field(turn, "role")), F.lit("unknown"))
-    content = _content_text(field(turn, "content"))
-    body = F.concat_ws("\n", F.nullif(content, F.lit("")), _calls_text(field(turn, "tool_calls")))
+    content = field(turn, "content")
+    calls = _calls_text(field(turn, "tool_calls"))
+
+    def joined(text: Column) -> Column:
+        return F.concat_ws("\n", F.nullif(text, F.lit("")), calls)
+
+    if content is None or isinstance(content.type, T.StringType):
+        body = joined(_content_text(content))
+    else:
+        body = let(_content_text(content), joined)
     return F.concat(capitalise(role), F.lit(": "), body)
 
 
 def flatten_turns(turns: Typed) -> Column:
-    """``Role: content`` lines of a turn list; null when it is not a list."""
+    """``Role: content`` lines of a turn list; null when it is empty or no list. The test
+    is on the size, so that the text is not built once more to be compared."""
     found = items(turns)
     if found is None:
         return F.lit(None).cast("string")
     array, element = found
     lines = F.transform(array, lambda t: F.when(is_object(Typed(t, element)), _turn_text(Typed(t, element))))
-    return F.when(array.isNotNull(), F.array_join(F.filter(lines, lambda line: line.isNotNull()), "\n"))
+    return F.when(F.size(array) > 0, F.array_join(F.filter(lines, lambda line: line.isNotNull()), "\n"))
 
 
 def first_turn(turns: Typed) -> tuple[Column, Column]:

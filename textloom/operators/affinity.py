@@ -7,17 +7,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.text import let
+
 STEPS = 64
 
 # Fixed value: smallest kernel width, as a share of the mean neighbour distance.
 MIN_SCALE = 1e-3
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value computed once: lambdas share no subexpressions."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _bisect(target, value, start: float, rising: bool) -> Column:
     """A positive number at which ``value`` meets ``target``, by doubling and halving."""
     state = F.struct(F.lit(0.0).alias("low"), F.lit(None).cast("double").alias("high"), F.lit(start).alias("mid"))
@@ -28,11 +25,11 @@ def _bisect(target, value, start: float, rising: bool) -> Column:
         def move(more: Column) -> Column:
             bounds = F.struct(F.when(more, s["mid"]).otherwise(s["low"]).alias("low"),
                               F.when(more, s["high"]).otherwise(s["mid"]).alias("high"))
-            return _let(bounds, lambda b: F.struct(
+            return let(bounds, lambda b: F.struct(
                 b["low"].alias("low"), b["high"].alias("high"),
                 F.when(b["high"].isNull(), s["mid"] * 2).otherwise((b["low"] + b["high"]) / 2).alias("mid")))
 
-        return _let(reached < target if rising else reached > target, move)
+        return let(reached < target if rising else reached > target, move)
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), state, step, lambda s: s["mid"])
 
@@ -61,15 +58,15 @@ def conditional_affinities(knn: DataFrame, perplexity: float) -> DataFrame:
         def entropy(beta: Column) -> Column:
             return F.aggregate(
                 d2, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("t")),
-                lambda acc, d: _let(F.exp(-d * beta), lambda w: F.struct((acc["s"] + w).alias("s"), (acc["t"] + d * w).alias("t"))),
+                lambda acc, d: let(F.exp(-d * beta), lambda w: F.struct((acc["s"] + w).alias("s"), (acc["t"] + d * w).alias("t"))),
                 lambda acc: F.log(acc["s"]) + beta * acc["t"] / acc["s"])
 
         beta = _bisect(F.lit(math.log(perplexity)), entropy, 1.0, rising=False)
-        raw = _let(beta, lambda b: F.transform(d2, lambda d: F.exp(-d * b)))
-        return _let(raw, lambda ws: _let(_sum(ws, lambda w: w), lambda total: F.transform(ws, lambda w: w / total)))
+        raw = let(beta, lambda b: F.transform(d2, lambda d: F.exp(-d * b)))
+        return let(raw, lambda ws: let(_sum(ws, lambda w: w), lambda total: F.transform(ws, lambda w: w / total)))
 
-    shifted = _let(squared, lambda d2: _let(F.array_min(d2), lambda least: F.transform(d2, lambda d: d - least)))
-    return _explode_weights(lists, _let(shifted, weights), "p")
+    shifted = let(squared, lambda d2: let(F.array_min(d2), lambda least: F.transform(d2, lambda d: d - least)))
+    return _explode_weights(lists, let(shifted, weights), "p")
 
 
 def _both_ways(edges: DataFrame, weight: str) -> DataFrame:
@@ -96,11 +93,11 @@ def membership(knn: DataFrame, k: int) -> DataFrame:
 
         floor = F.lit(MIN_SCALE) * _sum(dist, lambda x: x) / F.size("near")
         sigma = F.greatest(_bisect(F.lit(math.log2(k)), total, 1.0, rising=True), floor, F.lit(1e-300))
-        return _let(sigma, lambda s: F.transform(gap, lambda g: F.exp(-g / s)))
+        return let(sigma, lambda s: F.transform(gap, lambda g: F.exp(-g / s)))
 
     nearest = F.coalesce(F.array_min(F.filter(dist, lambda x: x > 0)), F.lit(0.0))
-    gap = _let(nearest, lambda rho: F.transform(dist, lambda x: F.greatest(x - rho, F.lit(0.0))))
-    return _explode_weights(lists, _let(gap, weights), "w")
+    gap = let(nearest, lambda rho: F.transform(dist, lambda x: F.greatest(x - rho, F.lit(0.0))))
+    return _explode_weights(lists, let(gap, weights), "w")
 
 
 def fuzzy_graph(knn: DataFrame, k: int) -> DataFrame:
