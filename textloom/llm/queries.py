@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe
+from textloom.llm import bpe, decontaminate
 from textloom.llm.common import documents, text_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +31,15 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         text_hex(F.array_join(F.col("token_ids").cast("array<string>"), " ")).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document against every benchmark item."""
+    marked = decontaminate.mark(documents(spark, folder).select("doc_id", "text"), documents(spark, folder, "benchmark"))
+    return marked.select(
+        "doc_id", "n_words", decontaminate.n_hit().alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        text_hex(F.array_join("hit_items", ",")).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"),
+    )
