@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate
-from textloom.llm.common import documents, text_hex
+from textloom.llm import bpe, decontaminate, language, toxicity
+from textloom.llm.common import documents, held_out, text_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,23 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         text_hex(F.array_join("hit_items", ",")).alias("items_sha256"),
         decontaminate.contaminated().alias("contaminated"),
     )
+
+
+@query
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = documents(spark, folder).select("doc_id", "text", "lang")
+    out = held_out("doc_id", 4, 2)
+    mixture = language.learned_from(docs, ~out)
+    return language.identify(docs.select("doc_id", "text"), mixture).select("doc_id", out.alias("held_out"), "lang_pred", "score", "languages")
+
+
+@query
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of four fifths of those that have one."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    out = held_out("doc_id", 5, 0)
+    scorer = toxicity.learned_from(docs, documents(spark, folder, "labels"), ~out)
+    return toxicity.score(docs, scorer).select(
+        "doc_id", out.alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
