@@ -25,8 +25,12 @@ TRAIN_DOCUMENTS = 12_000
 """At most so many labelled documents, of the smallest hashed ids, are learned from."""
 TRAIN_TASKS = 12
 STEPS = 60
-RATE = 0.35
-DECAY = 2e-5
+RATE = 0.3
+FLOOR = 2e-4
+"""Gradients well below this move a weight in proportion, those above it by about RATE."""
+DECAY = 1e-5
+LEAST_DOCUMENTS = 3
+"""A feature of fewer sampled documents has no weight: it would learn those by heart."""
 BEGINNINGS = (4, 5, 6)
 CACHED_WORDS = 300_000
 OFFENDING = 0.5
@@ -67,12 +71,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc: str, text: str, label
                 numbers, ends = [], []
                 for line in (batch.column(1)[i].as_py() or "").encode().translate(table).split(b"\n"):
                     if words := set(line.split()):
-                        own = set()
                         for w in words:
                             if w not in known:
                                 known[w] = features(w)
-                            own.update(known[w])
-                        numbers += sorted(own)
+                            numbers += known[w]
                         ends.append(len(numbers))
                 if len(known) > CACHED_WORDS:
                     known.clear()
@@ -133,6 +135,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
     weights = np.zeros((1 << BITS) + 1)
     weights[-1] = np.log(rate * max(count, 1) / max(sentences, 1))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
+
+    def spread(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros(1 << BITS)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                total[np.unique(batch.column(1)[i].values.to_numpy())] += 1
+        yield pa.record_batch([pa.array([total.tobytes()], pa.binary())], names=["g"])
+
+    used = sum([np.frombuffer(r.g) for r in path_rows.mapInArrow(spread, "g binary").collect()], np.zeros(1 << BITS)) >= LEAST_DOCUMENTS
     for step in range(1, STEPS + 1 if count else 1):
         shared = spark.sparkContext.broadcast(weights)
 
@@ -151,10 +165,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
                 owner = np.repeat(np.arange(batch.num_rows), sizes)
                 begin = np.concatenate([[0], end[:-1]])
                 z = np.add.reduceat(w[ids], begin) + w[-1]
-                p = 1 / (1 + np.exp(-z))
-                clean = np.exp(-np.bincount(owner, np.logaddexp(0, z), batch.num_rows))
+                p = np.exp(-np.logaddexp(0, -z))
+                bag = np.bincount(owner, np.logaddexp(0, z), batch.num_rows)
+                clean = np.exp(-bag)
                 toxic = batch.column(0).to_numpy()
-                pull = np.where(toxic > 0, clean / np.maximum(1 - clean, 1e-9), -1.0)
+                pull = np.where(toxic > 0, clean / np.maximum(-np.expm1(-bag), 1e-12), -1.0)
                 slope = p * pull[owner]
                 total[:-1] += np.bincount(ids, np.repeat(slope, end - begin), len(w) - 1)
                 total[-1] += slope.sum()
@@ -163,9 +178,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
         parts = path_rows.mapInArrow(gradient, "g binary").collect()  # one vector for each of TRAIN_TASKS
         shared.destroy()
         g = sum(np.frombuffer(r.g) for r in parts) / count - DECAY * np.append(weights[:-1], 0)
+        g *= np.append(used, True)
         first = 0.9 * first + 0.1 * g
         second = 0.99 * second + 0.01 * g * g
-        weights = weights + RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-5)
+        weights = weights + RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + FLOOR)
+        weights[:-1] = np.maximum(weights[:-1], 0)  # words are evidence for toxicity or none; the constant is against it
     remove(spark, path_rows.inputFiles()[0].rsplit("/", 1)[0] if count else "/nonexistent-textloom")
     return Scorer(weights)
 
