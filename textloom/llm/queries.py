@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, language, toxicity
+from textloom.llm import bpe, chat, decontaminate, language, toxicity
 from textloom.llm.common import documents, held_out, text_hex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, scorer).select(
         "doc_id", out.alias("held_out"), F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+@query
+def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """Every conversation, and one whose texts look like the template, formatted and read back."""
+    rows = documents(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], rows.schema)
+    back = chat.read_back(chat.format_chats(rows.unionAll(extra)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), text_hex(turns).alias("turns_sha256"),
+        F.length("loss_text").cast("long").alias("loss_chars"), text_hex(F.col("loss_text")).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"))
