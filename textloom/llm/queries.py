@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, chat, decontaminate, language, toxicity
+from textloom.llm import bpe, chat, decontaminate, language, simhash, toxicity
 from textloom.llm.common import documents, held_out, text_hex
+from textloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +78,11 @@ def op6_chat(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", F.size("turns").cast("long").alias("n_turns"), text_hex(turns).alias("turns_sha256"),
         F.length("loss_text").cast("long").alias("loss_chars"), text_hex(F.col("loss_text")).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The fingerprint of every document and the group of near copies it belongs to."""
+    marked = simhash.fingerprints(documents(spark, folder).select("doc_id", "text"))
+    marked = materialize(marked.select("doc_id", "fingerprint"), "fingerprints")
+    return simhash.with_components(marked).select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
