@@ -47,3 +47,35 @@ def components(links: DataFrame) -> DataFrame:
         if state == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         seen = state
+
+
+class Forest:
+    """Which of ``n`` points of one task are connected so far."""
+
+    def __init__(self, n: int):
+        import numpy as np
+
+        self.parent = np.arange(n)
+
+    def _root(self, i: int) -> int:
+        parent = self.parent
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def add(self, a, b) -> list[tuple[int, int]]:
+        """Adds the links between the points ``a`` and ``b``, arrays; returns those that connect anything new."""
+        import numpy as np
+
+        parent = self.parent
+        while not np.array_equal(up := parent[parent], parent):
+            parent[:] = up
+        new = []
+        fresh = parent[a] != parent[b]
+        for i, j in zip(a[fresh].tolist(), b[fresh].tolist()):
+            ri, rj = self._root(i), self._root(j)
+            if ri != rj:
+                parent[max(ri, rj)] = min(ri, rj)
+                new.append((i, j))
+        return new

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, chat, decontaminate, language, simhash, toxicity
+from textloom.llm import bpe, chat, decontaminate, language, simhash, toxicity, vectors
 from textloom.llm.common import documents, held_out, text_hex
 from textloom.session import materialize
 
@@ -86,3 +86,9 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     marked = simhash.fingerprints(documents(spark, folder).select("doc_id", "text"))
     marked = materialize(marked.select("doc_id", "fingerprint"), "fingerprints")
     return simhash.with_components(marked).select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The links and groups of all embeddings."""
+    return vectors.near_duplicates(documents(spark, folder, "embeddings"))

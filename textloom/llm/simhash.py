@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from textloom.llm.common import appended, per_text, quoted
-from textloom.llm.components import components
+from textloom.llm.components import Forest, components
 from textloom.session import materialize
 
 SHINGLE = 3
@@ -73,29 +73,15 @@ def tree_links(points, radius: int):
     a partner there."""
     import numpy as np
 
-    parent = np.arange(len(points))
+    forest = Forest(len(points))
     out: list[tuple[int, int]] = []
 
-    def root(i):
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
     def compare(members, queries):
         step = max(1, PORTION // max(1, len(members)))
         for k in range(0, len(queries), step):
             part = queries[k:k + step]
             q, m = np.nonzero(_near(points[part][:, None], points[members][None, :], radius))
-            q, m = part[q], members[m]
-            while (up := parent[parent])[q].size and not np.array_equal(up, parent):
-                parent[:] = up
-            open_ = parent[q] != parent[m]
-            for a, b in zip(q[open_].tolist(), m[open_].tolist()):
-                ra, rb = root(a), root(b)
-                if ra != rb:
-                    parent[max(ra, rb)] = min(ra, rb)
-                    out.append((a, b))
+            out.extend(forest.add(part[q], members[m]))
 
     work = [(np.arange(len(points)), np.arange(len(points)))]
     while work:
