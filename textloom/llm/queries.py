@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, chat, decontaminate, language, simhash, toxicity, vectors
+from textloom.llm import bpe, chat, decontaminate, language, passages, simhash, toxicity, vectors
 from textloom.llm.common import documents, held_out, text_hex
 from textloom.session import materialize
 
@@ -92,3 +92,9 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """The links and groups of all embeddings."""
     return vectors.near_duplicates(documents(spark, folder, "embeddings"))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document less the passages of 20 words or more that occur earlier."""
+    return passages.remove_repeats(documents(spark, folder)).select("doc_id", "n_words", "n_removed", text_hex(F.col("kept")).alias("kept_sha256"))
