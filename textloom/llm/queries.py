@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, chat, decontaminate, language, passages, simhash, toxicity, vectors
+from textloom.llm import bpe, chat, decontaminate, language, passages, simhash, suffixes, toxicity, vectors
 from textloom.llm.common import documents, held_out, text_hex
 from textloom.session import materialize
 
@@ -98,3 +98,9 @@ def op9_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Every document less the passages of 20 words or more that occur earlier."""
     return passages.remove_repeats(documents(spark, folder)).select("doc_id", "n_words", "n_removed", text_hex(F.col("kept")).alias("kept_sha256"))
+
+
+@query
+def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document less the strings of 50 bytes or more that a document with a smaller id has."""
+    return suffixes.remove_repeats(documents(spark, folder)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
