@@ -57,7 +57,7 @@ def pack(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
         def block():
             nonlocal number, rows, size
             rows.sort(key=lambda r: (r[0] is not None, r[0] or 0))
-            data = zstandard.ZstdCompressor(level=1).compress(pickle.dumps(rows))
+            data = zstandard.ZstdCompressor(level=5).compress(pickle.dumps(rows))
             out = pa.record_batch([pa.array([number], pa.int64()), pa.array([data], pa.binary())], names=["block", "payload"])
             number, rows, size = number + 1, [], 0
             return out
@@ -89,29 +89,45 @@ def parts_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def with_replies(blocks: DataFrame, replies: DataFrame, do, schema) -> DataFrame:
+    """What ``do(block, rows, replies)`` makes of each block and its replies: a record batch."""
+    both = blocks.select("block", F.lit(0).alias("reply"), F.col("payload").alias("data")).unionAll(replies.select("block", F.lit(1).alias("reply"), "data"))
+
+    def function(batches):
+        block, payload, answers = None, None, []
+        for batch in batches:
+            for number, reply, data in zip(*[batch.column(k) for k in range(3)]):
+                if not reply.as_py():
+                    if payload is not None:
+                        yield do(block, unpack(payload), answers)
+                    block, payload, answers = number.as_py(), data.as_py(), []
+                else:
+                    answers.append(data.as_py())
+        if payload is not None:
+            yield do(block, unpack(payload), answers)
+
+    return both.repartition("block").sortWithinPartitions("block", "reply").mapInArrow(function, schema)
+
+
 def send(blocks: DataFrame, say, replies: DataFrame | None = None) -> DataFrame:
     """``(part, block, data)`` as ``say(rows, replies)`` gives ``(part, data)`` for each block."""
     import pyarrow as pa
 
     schema = "part int, block long, data binary"
 
-    def made(block, payload, answers):
-        out = list(say(unpack(payload), answers))
-        return [pa.array([p for p, _ in out], pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array([d for _, d in out], pa.binary())]
-
-    names = ["part", "block", "data"]
-    if replies is None:
-        def function(batches):
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    yield pa.record_batch(made(batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), []), names=names)
+    def made(block, rows, answers):
+        out = list(say(rows, answers))
+        return pa.record_batch([pa.array([p for p, _ in out], pa.int32()), pa.array([block] * len(out), pa.int64()), pa.array([d for _, d in out], pa.binary())], names=["part", "block", "data"])
 
-        return blocks.mapInArrow(function, schema)
+    if replies is not None:
+        return with_replies(blocks, replies, made, schema)
 
-    def joined(key, left, right):
-        return pa.table(made(key[0].as_py(), left.column(1)[0].as_py(), right.column(1).to_pylist()), names=names)
+    def function(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield made(batch.column(0)[i].as_py(), unpack(batch.column(1)[i].as_py()), [])
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(joined, schema)
+    return blocks.mapInArrow(function, schema)
 
 
 def answer(sent: DataFrame, find) -> DataFrame:
@@ -134,13 +150,13 @@ def finish(blocks: DataFrame, replies: DataFrame, do, schema: str) -> DataFrame:
 
     shape = to_arrow_schema(T._parse_datatype_string(schema))
 
-    def function(key, left, right):
+    def made(_, rows, answers):
         import pyarrow as pa
 
-        rows = do(unpack(left.column(1)[0].as_py()), right.column(1).to_pylist())
-        return pa.table([pa.array(list(column), field.type) for column, field in zip(zip(*rows), shape)], schema=shape)
+        out = do(rows, answers)
+        return pa.record_batch([pa.array(list(column), field.type) for column, field in zip(zip(*out), shape)], schema=shape)
 
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(function, schema)
+    return with_replies(blocks, replies, made, schema)
 
 
 def to_parts(keys, parts: int):
