@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, chat, decontaminate, language, passages, simhash, suffixes, toxicity, vectors
+from textloom.llm import bpe, chat, decontaminate, language, passages, private, simhash, suffixes, toxicity, vectors
 from textloom.llm.common import documents, held_out, text_hex
 from textloom.session import materialize
 
@@ -104,3 +104,13 @@ def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
 def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Every document less the strings of 50 bytes or more that a document with a smaller id has."""
     return suffixes.remove_repeats(documents(spark, folder)).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_private(spark: SparkSession, folder: str) -> DataFrame:
+    """The personal data of every document."""
+    found = private.find(documents(spark, folder).select("doc_id", "text"))
+    return found.select(
+        F.col("doc").alias("doc_id"), *[private.count_of(k).alias(f"n_{k}") for k in private.KINDS],
+        text_hex(private.written(F.col("base"))).alias("base_sha256"),
+        private.written(F.array_sort(F.concat("base", "found"))).alias("spans"), F.size("found").cast("long").alias("n_found"))
