@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import appended, per_text, quoted
+from textloom.llm.common import appended, per_text, quoted, without
 from textloom.llm.components import Forest, components
 from textloom.session import materialize
 
@@ -177,12 +177,13 @@ def links(points: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 
 def with_components(docs: DataFrame, doc: str = "doc_id", mark: str = "fingerprint", radius: int = RADIUS) -> DataFrame:
-    """Adds ``component_id``: the smallest ``doc`` among all whose fingerprints can be reached by links.
-    ``docs`` should be a written table: it is read three times."""
+    """Adds ``component_id``, the smallest ``doc`` among all whose fingerprints can be reached by links, and
+    ``component_point``, the smallest of those fingerprints. ``docs`` should be a written table: it is read twice."""
     points = materialize(docs.groupBy(quoted(mark).alias("p")).agg(F.min(quoted(doc)).alias("least")), "points")
     linked = components(links(points.select("p"), radius))
     groups = points.join(linked, points.p == linked.node, "left").select("p", "least", F.coalesce("component", "p").alias("component"))
     smallest = materialize(groups.groupBy("component").agg(F.min("least").alias("component_id")), "smallest")
-    found = materialize(groups.join(smallest, "component").select(F.col("p").alias("_point"), "component_id"), "groups")
-    kept = docs.drop("component_id")
+    found = groups.join(smallest, "component").select(F.col("p").alias("_point"), "component_id", F.col("component").alias("component_point"))
+    found = materialize(found, "groups")
+    kept = without(docs, "component_id", "component_point")
     return kept.join(found, kept[mark] == found["_point"], "left").drop("_point")
