@@ -6,8 +6,6 @@ from oracle import compare, connect
 import __spark_entry__ as entry_point
 from textloom.catalog import ORACLES, QUERIES
 
-SLOW = {"tsne_2d", "umap_2d"}
-
 
 @pytest.fixture(scope="session")
 def con(data):
@@ -19,7 +17,7 @@ def test_matches_sql(spark, data, con, name):
     compare(QUERIES[name](spark, data), con, ORACLES[name])
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_has_rows(spark, data, name):
     assert QUERIES[name](spark, data).count() > 0
 

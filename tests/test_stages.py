@@ -9,8 +9,8 @@ from textloom.operators.embed import hash_embed, model_embed
 from textloom.operators.explore import exact_sample, quantiles, top_values
 from textloom.plans.manifest import manifest_from_landing
 from textloom.plans.settings import BASE, overrides_frame, resolve
-from textloom.plans.stages import audit_slices, embed_slices, ingest, reduce_slices
-from textloom.sources.sinks import chunk_plan, stage_path, write_table
+from textloom.plans.stages import audit_slices, embed_slices, ingest, preprocessed, read_report, reduce_slices
+from textloom.sources.sinks import chunk_plan, rechunk, stage_path, write_table
 
 
 @pytest.fixture
@@ -43,18 +43,18 @@ def test_run_and_resume(spark, landing, fmt):
         return (
             status(ingest(spark, slices, where, base, force=force)),
             status(embed_slices(spark, slices, base, "hash", lambda text, s: hash_embed(text, 4, max_tokens=s["max_seq_length"]), force)),
-            status(reduce_slices(spark, slices, base, "hash", force, tsne_steps=10, umap_steps=10)),
+            status(reduce_slices(spark, slices, base, "hash", force)),
         )
 
     ran, after = {"content": "ran", "metadata": "skip"}, {"content": "skipped", "metadata": "skip"}
     assert run() == ({"content": "ran", "metadata": "ran"}, ran, ran)
     assert run() == ({"content": "skipped", "metadata": "skipped"}, after, after)
     assert run(force=True)[1] == ran
-    rows = spark.read.format("json" if fmt == "jsonl" else "parquet").load(stage_path(base, "preprocessed"))
+    rows = spark.read.format("json" if fmt == "jsonl" else "parquet").load(preprocessed(base, fmt))
     assert rows.count() == 24
     points = spark.read.parquet(stage_path(base, "embreduced", "hash"))
     assert points.count() == 12
-    assert {"pca_2d_x", "tsne_2d_y", "umap_2d_x", "id", "config"} <= set(points.columns)
+    assert {"pca_2d_x", "pca_2d_y", "id", "config"} <= set(points.columns)
     assert audit_slices(spark, base, "hash").first()["bad"] == 0
 
 
@@ -101,3 +101,34 @@ def test_model_embed(spark):
 
     df = spark.createDataFrame([("ab",), ("c",)], "t string").select(model_embed(F.col("t"), make, 2).alias("e"))
     assert sorted(r["e"][0] for r in df.collect()) == [1.0, 2.0]
+
+
+def test_names_with_signs_and_empty_slices(spark, tmp_path):
+    name, base = "org/name=1% of + all", str(tmp_path / "out")
+    files = tmp_path / "a.jsonl"
+    slices = resolve(spark.createDataFrame([(name, "c d", "train")], "dataset string, config string, split string"), {**BASE, "text_column": "body"},
+                     overrides_frame(spark, {}), overrides_frame(spark, {})).cache()
+
+    def run(lines, force=False):
+        files.write_text("\n".join(json.dumps(x) for x in lines))
+        return ingest(spark, slices, lambda *_: str(files), base, force=force, schema="id long, body string")[0]
+
+    def rows():
+        return spark.read.parquet(preprocessed(base, "parquet")).count()
+
+    first = run([{"id": 1, "body": "one"}, {"id": "seven", "body": "two"}])
+    assert (first["status"], first["rows"], first["files"]) == ("ran", 2, 1) and rows() == 2
+    assert run([])["status"] == "skipped" and rows() == 2
+    again = run([{"id": 1, "body": " "}], force=True)
+    assert (again["status"], again["rows"]) == ("ran", 0)
+    assert spark.read.schema("id string, dataset string, config string, split string").parquet(preprocessed(base, "parquet")).count() == 0
+    assert run([])["status"] == "skipped"  # an empty slice is finished too
+    assert [r.status for r in read_report(spark, base).orderBy("at").collect()] == ["started", "ran", "skipped", "started", "ran", "skipped"]
+
+
+def test_rechunk_keeps_source_files_apart(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    spark.range(36).selectExpr("id", "id div 3 as f").repartitionByRange(12, "f").write.parquet(source)
+    rechunk(spark, source, target, 2)
+    files = spark.read.parquet(target).groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n"), F.count_distinct("f").alias("sources")).collect()
+    assert sorted(r.n for r in files) == [1] * 12 + [2] * 12 and all(r.sources == 1 for r in files)

@@ -131,13 +131,16 @@ def crosstab(spark, folder):
     return X.crosstab_long(joined, "p_brand", "year", 10)
 
 
+YEARS = range(1992, 2003)
+
+
 @query("crosstab_wide", """
-PIVOT (SELECT o_orderpriority, year(o_orderdate) AS year FROM orders
-       WHERE o_orderpriority IN (SELECT o_orderpriority FROM orders GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3))
-ON year USING count(*) GROUP BY o_orderpriority""")
+SELECT o_orderpriority, """ + ", ".join(f'count(*) FILTER (WHERE year(o_orderdate) = {y}) AS "{y}"' for y in YEARS) + """
+FROM orders WHERE o_orderpriority IN (SELECT o_orderpriority FROM orders GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3)
+GROUP BY 1""")
 def crosstab_wide(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderpriority", F.year("o_orderdate").alias("year"))
-    return X.crosstab(orders, "o_orderpriority", "year", 3)
+    return X.crosstab(orders, "o_orderpriority", "year", 3, YEARS)
 
 
 @query("top_other", """

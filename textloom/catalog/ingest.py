@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.catalog.base import query, table
 from textloom.catalog.texts import SPACE_SQL
 from textloom.operators.normalize import normalize
 from textloom.plans.manifest import build_manifest, pending_rows, pending_slices, run_report, slices_in_paths, stage_status
-from textloom.plans.settings import embeddable, overrides_frame, resolve, rows_of
+from textloom.plans.settings import BASE, embeddable, overrides_frame, resolve, rows_of
+from textloom.plans.stages import ingest, read_report
 from textloom.session import scratch_path
 from textloom.sources.landed import (
     concat_tables, file_sizes, line_counts, parsed_lines, read_in_file_order, read_jsonl, read_records, read_stage, stage_sizes,
@@ -64,13 +66,27 @@ def jsonl_roundtrip(spark, folder):
     return read_stage(spark, path, "jsonl", ["text", "id", "source", "metadata_json"])
 
 
-@query("raw_sink", "SELECT event_id, event_type, user_id, props FROM events")
+@query("raw_sink", "SELECT * FROM events")
 def raw_sink(spark, folder):
     path = scratch_path(spark, "raw")
     events = table(spark, folder, "events")
-    write_table(events.select("event_id", "event_type", "user_id", "props"), path, "jsonl")
-    return read_records(spark, path, "jsonl", schema=events.select("event_id", "event_type", "user_id", "props").schema,
-                        file_column=None)
+    write_table(events, path, "jsonl")
+    return read_records(spark, path, "jsonl", schema=events.schema, file_column=None)
+
+
+@query("jsonl_mismatch", """
+SELECT CASE WHEN doc_id % 3 > 0 THEN doc_id END AS doc_id, lang, length(text) AS n, doc_id % 3 = 0 AS misfit FROM documents""")
+def jsonl_mismatch(spark, folder):
+    """A value that does not fit its declared type costs that value, not the line."""
+    path = scratch_path(spark, "lines")
+    docs = table(spark, folder, "documents")
+    odd = F.col("doc_id") % 3 == 0
+    record = F.when(odd, F.to_json(F.struct(F.concat(F.lit("no. "), "doc_id").alias("doc_id"), "lang", "text"))).otherwise(
+        F.to_json(F.struct("doc_id", "lang", "text")))
+    docs.select(F.explode(F.array(record, F.lit("{bad"), F.lit("17"), F.lit(" "))).alias("value")).write.text(path)
+    schema = T.StructType.fromDDL("doc_id long, lang string, text string")
+    rows = read_jsonl(spark, path, schema, mismatch="line")
+    return rows.select("doc_id", "lang", F.length("text").alias("n"), F.col("line").isNotNull().alias("misfit"))
 
 
 @query("file_name_column", "SELECT 'documents.parquet' AS file_name, count(*) AS n FROM documents")
@@ -107,17 +123,17 @@ def chunk_assignment(spark, folder):
 def rechunk_sizes(spark, folder):
     path = scratch_path(spark, "chunks")
     rechunk(spark, f"{folder}/documents.parquet", path, 300)
-    copied = spark.read.parquet(path).select("doc_id", F.col("_metadata.file_name").alias("file"))
+    copied = spark.read.parquet(path).select("doc_id", F.col("_metadata.file_path").alias("file"))
     sizes = copied.groupBy("file").agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("ids"))
     return sizes.agg(F.every(F.col("n") <= 300).alias("within_cap"), F.sum("n").alias("n"), F.sum("ids").alias("ids"))
 
 
-@query("atomic_write", "SELECT count(*) AS n FROM documents WHERE lang = 'en'")
+@query("atomic_write", "SELECT lang, count(*) AS n FROM documents GROUP BY 1")
 def atomic_write(spark, folder):
     docs, path = table(spark, folder, "documents"), scratch_path(spark, "kept")
-    write_table(docs.where("lang = 'en'"), path)
-    write_table(docs.where("lang = 'de'"), path, mode="ignore")
-    return spark.read.parquet(path).agg(F.count("*").alias("n"))
+    write_table(docs, path)
+    write_table(docs.withColumn("lang", F.lit("none")), path, mode="ignore")
+    return spark.read.parquet(path).groupBy("lang").agg(F.count("*").alias("n"))
 
 
 @query("slice_overwrite", """
@@ -211,6 +227,21 @@ def landed_slices(spark, folder):
     return slices_in_paths(file_sizes(spark, path), F.col("path")).withColumn("filled", F.lit(True))
 
 
+@query("resume_named_slices", """
+SELECT 'org/' || lang || '=50%' AS dataset, 'a b+c' AS config, 's%2F' AS split, status, CASE WHEN status = 'ran' THEN n ELSE 0 END AS rows
+FROM (SELECT lang, count(*) AS n FROM documents GROUP BY 1), (VALUES ('ran'), ('skipped')) s(status)""")
+def resume_named_slices(spark, folder):
+    """Slices with signs in their names, run twice: the second run has nothing to do."""
+    landed, base = scratch_path(spark, "landed"), scratch_path(spark, "run")
+    docs = table(spark, folder, "documents")
+    write_table(docs.select(F.col("doc_id").alias("id"), "text", "source", "lang"), landed, partition_by=["lang"])
+    names = docs.select(F.concat(F.lit("org/"), "lang", F.lit("=50%")).alias("dataset"), F.lit("a b+c").alias("config"), F.lit("s%2F").alias("split")).distinct()
+    slices = resolve(names, BASE, overrides_frame(spark, {}), overrides_frame(spark, {}))
+    for _ in range(2):
+        ingest(spark, slices, lambda d, c, s: f"{landed}/lang={d[4:-4]}", base, "parquet")
+    return read_report(spark, base).where("status <> 'started'").select("dataset", "config", "split", "status", "rows")
+
+
 @query("stage_status", """
 SELECT dataset, CASE WHEN dataset = 'src1' OR dataset = 'src2' THEN 'partial' WHEN dataset = 'src3' THEN 'missing' ELSE 'complete' END AS status,
        CASE WHEN dataset IN ('src1', 'src3') THEN 0 ELSE n END AS files

@@ -9,7 +9,7 @@ from textloom.catalog.base import query, table
 from textloom.functions.strategies import STRATEGIES
 from textloom.functions.text import EDGE_SPACE, capitalise, content_id, document_id, strip
 from textloom.functions.turns import Typed, flatten_tools, flatten_turns, turns_by_group
-from textloom.operators.normalize import detect_text_column, metadata_json, normalize, route_strategies
+from textloom.operators.normalize import apply_steps, detect_text_column, metadata_json, normalize, route_strategies
 
 # -- records ------------------------------------------------------------------------
 
@@ -31,12 +31,12 @@ def flat(df: DataFrame, column: str):
 
 
 # The same in SQL.
-PAGES_SQL = """
-pages_of AS (
-  SELECT conv_id, turn // 1000 AS page,
+CHATS_SQL = """
+chats AS (
+  SELECT conv_id,
          string_agg(upper(substr(role, 1, 1)) || lower(substr(role, 2)) || ': ' || text, chr(10) ORDER BY turn) AS flat,
          list(struct_pack(role := role, content := text) ORDER BY turn) AS messages
-  FROM conversations GROUP BY 1, 2)
+  FROM conversations GROUP BY 1)
 """
 LINES_SQL = """
 lined AS (
@@ -55,10 +55,23 @@ def _chars(text: str) -> str:
 SPACE_SQL = _chars(EDGE_SPACE)
 
 
-@query("flatten_messages", f"WITH {PAGES_SQL} SELECT conv_id, page, flat AS text FROM pages_of")
+@query("flatten_messages", f"WITH {CHATS_SQL} SELECT conv_id, flat AS text FROM chats")
 def flatten_messages(spark, folder):
     df = conversation_records(spark, folder)
-    return df.select("conv_id", "page", flat(df, "messages").alias("text"))
+    return df.select("conv_id", flat(df, "messages").alias("text"))
+
+
+# Very long conversations: the lines of all documents of a language are the turns of one.
+@query("flatten_long", """
+WITH l AS (SELECT lang, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+SELECT lang, count(*) AS turns, string_agg(CASE WHEN i % 2 = 1 THEN 'User: ' ELSE 'Assistant: ' END || line, chr(10) ORDER BY doc_id, i) AS text
+FROM l GROUP BY 1""")
+def flatten_long(spark, folder):
+    lines = table(spark, folder, "documents").select("lang", "doc_id", F.posexplode(F.split("text", "\n")).alias("i", "text"))
+    turns = lines.withColumns({
+        "turn": F.col("doc_id") * 100_000 + F.col("i"), "role": F.when(F.col("i") % 2 == 0, "user").otherwise("assistant")})
+    df = turns_by_group(turns, "lang", "turn")
+    return df.select("lang", F.size("messages").cast("long").alias("turns"), flat(df, "messages").alias("text"))
 
 
 @query("flatten_lines", f"WITH {LINES_SQL} SELECT doc_id, flat AS text FROM turned")
@@ -68,13 +81,12 @@ def flatten_lines(spark, folder):
 
 
 @query("canonical_conversations", f"""
-WITH {PAGES_SQL}
-SELECT trim(flat, {SPACE_SQL}) AS text, conv_id || '-' || page AS id, 'conversations' AS source,
+WITH {CHATS_SQL}
+SELECT trim(flat, {SPACE_SQL}) AS text, conv_id || '' AS id, 'conversations' AS source,
        '{{"turns": ' || len(messages) || ', "first_role": "' || messages[1].role || '"}}' AS metadata_json
-FROM pages_of""")
+FROM chats""")
 def canonical_conversations(spark, folder):
-    df = conversation_records(spark, folder).select(
-        F.concat_ws("-", "conv_id", "page").alias("id"), "messages")
+    df = conversation_records(spark, folder).select(F.col("conv_id").alias("id"), "messages")
     records = df.withColumns({"turns": F.size("messages"), "first_role": F.col("messages")[0]["role"]})
     return normalize(records, "conversations", "messages_list", carry=["messages"]).drop("messages")
 
@@ -159,24 +171,24 @@ def by_strategy(df: DataFrame, name: str, *keys: str) -> DataFrame:
     return df.select(*keys, STRATEGIES[name](df.drop(*keys).schema).alias("text"))
 
 
-@query("strategy_messages_list", f"WITH {PAGES_SQL} SELECT conv_id, page, flat AS text FROM pages_of")
+@query("strategy_messages_list", f"WITH {CHATS_SQL} SELECT conv_id, flat AS text FROM chats")
 def strategy_messages_list(spark, folder):
-    return by_strategy(conversation_records(spark, folder), "messages_list", "conv_id", "page")
+    return by_strategy(conversation_records(spark, folder), "messages_list", "conv_id")
 
 
 @query("strategy_messages_concat", f"""
-WITH {PAGES_SQL}
-SELECT conv_id, page,
+WITH {CHATS_SQL}
+SELECT conv_id,
        CASE WHEN messages[1].role = 'system' THEN '' ELSE 'System: Be brief.' || chr(10) END
        || flat || chr(10) || 'Assistant: ' || messages[len(messages)].content AS text
-FROM pages_of""")
+FROM chats""")
 def strategy_messages_concat(spark, folder):
     first = F.col("messages")[0]
     df = conversation_records(spark, folder).select(
-        "conv_id", "page", F.col("messages").alias("input"),
+        "conv_id", F.col("messages").alias("input"),
         F.when(first["role"] == "system", F.concat(F.lit("\n "), first["content"])).otherwise("Be brief.").alias("system_prompt"),
         F.element_at("messages", -1)["content"].alias("output"))
-    return by_strategy(df, "messages_concat", "conv_id", "page")
+    return by_strategy(df, "messages_concat", "conv_id")
 
 
 @query("strategy_plain_fallback", f"SELECT doc_id, trim(text, {SPACE_SQL}) AS text FROM documents")
@@ -343,11 +355,11 @@ def doc_id_hash(spark, folder):
 @query("metadata_json", """
 SELECT event_id, '{"ts": "' || strftime(ts, '%Y-%m-%d %H:%M:%S')
        || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END
-       || '", "user_id": ' || user_id || ', "event_type": ' || to_json(event_type) || ', "props": ' || to_json(props) || '}' AS metadata_json
+       || '", "user_id": ' || user_id || ', "event_type": ' || to_json(event_type) || ', "value": ' || value || ', "props": ' || to_json(props) || '}' AS metadata_json
 FROM events""")
 def metadata_of_events(spark, folder):
     df = table(spark, folder, "events")
-    return df.select("event_id", metadata_json(df.schema, ["event_id", "value"]).alias("metadata_json"))
+    return df.select("event_id", metadata_json(df.schema, ["event_id"]).alias("metadata_json"))
 
 
 @query("text_field_detect", """
@@ -375,3 +387,23 @@ def source_counts(spark, folder):
     tagged = normalize(table(spark, folder, "documents"), "documents").unionByName(
         normalize(table(spark, folder, "benchmark"), "benchmark"))
     return tagged.groupBy("source").agg(F.count("*").alias("rows_in"))
+
+
+@query("smart_mixed", f"""
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'Formal Statement (Lean 4):' || chr(10) || chr(10) ELSE '' END || trim(text, {SPACE_SQL}) AS text
+FROM documents""")
+def smart_mixed(spark, folder):
+    """Proofs, plain texts and problems in one table: each row by its own columns."""
+    kind = F.col("doc_id") % 3
+    df = table(spark, folder, "documents").select(
+        "doc_id", F.when(kind == 0, F.col("text")).alias("formal_statement"), F.when(kind == 1, F.col("text")).alias("text"),
+        F.when(kind == 2, F.col("text")).alias("problem"))
+    return by_strategy(df, "smart", "doc_id")
+
+
+@query("step_hook", f"""
+SELECT trim(text, {SPACE_SQL}) AS text, upper(lang) AS source FROM documents WHERE length(trim(text, {SPACE_SQL})) > 500""")
+def step_hook(spark, folder):
+    rows = normalize(table(spark, folder, "documents"), F.col("lang"))
+    steps = [lambda df: df.where(F.length("text") > 500), lambda df: df.withColumn("source", F.upper("source"))]
+    return apply_steps(rows, steps).select("text", "source")

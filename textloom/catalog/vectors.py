@@ -9,7 +9,8 @@ from textloom.operators.affinity import conditional_affinities, fuzzy_graph, mem
 from textloom.operators.embed import audit, embed, hash_embed, is_bad, model_embed, tokens
 from textloom.operators.neighbors import knn_graph
 from textloom.operators.reduce import covariance, pca, pre_reduce, reduce
-from textloom.session import materialize
+from textloom.session import materialize, scratch_path
+from textloom.sources.sinks import write_table
 
 WIDTH = 8
 
@@ -136,13 +137,13 @@ def knn(spark, folder):
 
 # Copies: each vector rounded hard, so that many are equal.
 @query("knn_with_copies", """
-WITH e AS (SELECT vec_id, [CAST(round(CAST(embedding[i] AS DOUBLE) * 6) AS DOUBLE) FOR i IN range(1, 5)] AS embedding FROM embeddings),
+WITH e AS (SELECT vec_id, [CAST(round(CAST(x AS DOUBLE) * 2) AS DOUBLE) FOR x IN embedding] AS embedding FROM embeddings),
 pairs AS (SELECT a.vec_id AS src, b.vec_id AS dst, list_distance(a.embedding, b.embedding) AS dist FROM e a JOIN e b ON a.vec_id <> b.vec_id)
 SELECT src, dst, row_number() OVER (PARTITION BY src ORDER BY dist, dst) AS rank, round(dist, 6) AS dist FROM pairs
 QUALIFY row_number() OVER (PARTITION BY src ORDER BY dist, dst) <= 15""")
 def knn_with_copies(spark, folder):
     coarse = table(spark, folder, "embeddings").select("vec_id", F.transform(
-        F.slice("embedding", 1, 4), lambda x: F.round(x.cast("double") * 6)).alias("embedding"))
+        "embedding", lambda x: F.round(x.cast("double") * 2)).alias("embedding"))
     return knn_graph(coarse, "vec_id", "embedding", 15, cell_rows=50).withColumn("dist", F.round("dist", 6))
 
 
@@ -202,11 +203,11 @@ def fuzzy(spark, folder):
     return fuzzy_graph(materialize(graph(spark, folder), "knn"), 15).withColumn("w", F.round("w", 6))
 
 
-@query("tsne_2d")
-def tsne_2d(spark, folder):
-    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["tsne"])
-
-
-@query("umap_2d")
-def umap_2d(spark, folder):
-    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["umap"])
+@query("points_sink", f"SELECT label, count(*) AS n, count(*) FILTER (WHERE NOT {BAD_SQL}) AS placed FROM embeddings GROUP BY 1")
+def points_sink(spark, folder):
+    """Points written by label in small files, and read again."""
+    path = scratch_path(spark, "points")
+    rows = damaged(spark, folder)
+    write_table(reduce(rows, ["vec_id", "label"], "embedding", ["pca"]), path, chunk_size=100, partition_by=["label"])
+    return spark.read.parquet(path).groupBy("label").agg(
+        F.count("*").alias("n"), F.count_if(~F.isnan("pca_2d_x") & ~F.isnan("pca_2d_y")).alias("placed"))

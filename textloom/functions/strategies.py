@@ -111,24 +111,31 @@ def raw_text(schema: T.StructType) -> Column:
 
 
 def smart(schema: T.StructType) -> Column:
-    """Pick a strategy from the columns present, the most specific first."""
-    names = set(schema.names)
-    if "responses_create_params" in names:
-        return rl_blend(schema)
-    if {"tools", "messages"} <= names:
-        return agentic(schema)
-    if names & {"formal_statement", "lean_header"}:
-        return math_proof(schema)
-    if "problem" in names:
-        chosen = math_v2(schema)
-    elif "text" in names:
-        chosen = raw_text(schema)
-    else:
-        chosen = _null()
-    for name, strategy in (("messages", messages_list), ("input", messages_concat)):
+    """Pick a strategy by what a row holds, the most specific first. Columns that only other
+    rows fill do not count."""
+    def given(name: str) -> Column:
+        found = column(schema, name)
+        return F.lit(False) if found is None else found.col.isNotNull()
+
+    def listed(name: str) -> Column:
         found = column(schema, name)
-        if found is not None:
-            chosen = F.when(is_list(found), strategy(schema)).otherwise(chosen)
+        return F.lit(False) if found is None else is_list(found)
+
+    names = set(schema.names)
+    chain = [
+        ({"responses_create_params"}, given("responses_create_params"), rl_blend),
+        ({"tools", "messages"}, given("tools") & given("messages"), agentic),
+        ({"formal_statement"}, given("formal_statement"), math_proof),
+        ({"lean_header"}, given("lean_header"), math_proof),
+        ({"input"}, listed("input"), messages_concat),
+        ({"messages"}, listed("messages"), messages_list),
+        ({"problem"}, given("problem"), math_v2),
+        ({"text"}, given("text"), raw_text),
+    ]
+    chosen = _null()
+    for needs, test, strategy in reversed(chain):
+        if needs <= names:
+            chosen = F.when(test, strategy(schema)).otherwise(chosen)
     return chosen
 
 

@@ -171,10 +171,13 @@ def flatten_tools(tools: Typed) -> Column:
 
 def turns_by_group(df: DataFrame, key: str, turn: str, role: str = "role", content: str = "text",
                    page_turns: int = 1000) -> DataFrame:
-    """Turn-per-row input as records ``key, page, messages``. A page holds at most
-    ``page_turns`` turn numbers, so no conversation, however long, becomes one group."""
+    """Turn-per-row input as records ``key, messages``, one for each conversation, in the
+    order of ``turn``. Turns are gathered in pages of ``page_turns`` turn numbers first, so
+    that the rows of one long conversation come together in many tasks; only its finished
+    pages, in order, meet in one."""
     one = F.struct(F.col(turn).alias("_at"), F.col(role).alias("role"), F.col(content).alias("content"))
-    ordered = F.array_sort(F.collect_list(one))
-    plain = F.transform(ordered, lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
-    page = F.floor(F.col(turn) / page_turns).alias("page")
-    return df.groupBy(F.col(key), page).agg(plain.alias("messages"))
+    plain = F.transform(
+        F.array_sort(F.collect_list(one)), lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
+    pages = df.groupBy(F.col(key), F.floor(F.col(turn) / page_turns).alias("_page")).agg(plain.alias("_turns"))
+    ordered = F.array_sort(F.collect_list(F.struct("_page", "_turns")))
+    return pages.groupBy(key).agg(F.flatten(F.transform(ordered, lambda p: p["_turns"])).alias("messages"))

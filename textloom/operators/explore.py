@@ -64,7 +64,8 @@ def schema_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
         return F.col(f"`{c}`").cast("string")
 
     def compact(c: str) -> Column:
-        return F.when(F.length(text(c)) > 64, F.sha2(F.encode(text(c), "UTF-8"), 256)).otherwise(text(c))
+        long = F.length(text(c)) > 64
+        return F.concat(F.when(long, "#").otherwise("="), F.when(long, F.sha2(F.encode(text(c), "UTF-8"), 256)).otherwise(text(c)))
 
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, c in enumerate(columns):
@@ -76,7 +77,7 @@ def schema_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
         F.struct(
             F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"),
             F.col(f"n{i}").alias("non_null"),
-            F.bround((F.col("rows") - F.col(f"n{i}")) * 100.0 / F.col("rows"), 1).alias("null_pct"),
+            F.bround(F.try_divide((F.col("rows") - F.col(f"n{i}")) * 100.0, F.col("rows")), 1).alias("null_pct"),
             F.col(f"s{i}").alias("sample"),
             (F.col(f"d{i}") if approximate else F.lit(None).cast("long")).alias("unique"),
         ) for i, c in enumerate(columns)])).alias("p")).select("p.*")
@@ -242,11 +243,12 @@ def crosstab_long(df: DataFrame, row: str, column: str, top: int = 10) -> DataFr
     return long.join(F.broadcast(dated), row, "left_semi")
 
 
-def crosstab(df: DataFrame, row: str, column: str, top: int = 10) -> DataFrame:
-    """The same as a wide table, one column per column value."""
+def crosstab(df: DataFrame, row: str, column: str, top: int = 10, values: Sequence | None = None) -> DataFrame:
+    """The same as a wide table, one column per column value. Pass ``values`` where they
+    are known: without them their list is read first, and the driver holds it."""
     leaders = F.broadcast(top_values(df, row, top).select(F.col("value").alias(row)))
     kept = df.join(leaders, row, "left_semi").where(F.col(column).isNotNull())
-    return kept.groupBy(row).pivot(column).count().fillna(0).orderBy(row)
+    return kept.groupBy(row).pivot(column, list(values) if values is not None else None).count().fillna(0).orderBy(row)
 
 
 def top_or_other(df: DataFrame, column: str, n: int = 15, name: str | None = None, other: str = "Other") -> DataFrame:

@@ -18,7 +18,7 @@ from textloom.session import materialize
 
 log = logging.getLogger(__name__)
 
-# The width t-SNE and UMAP work on, and the axis names per target width.
+# The width neighbour graphs work on, and the axis names per target width.
 PRE_WIDTH = 50
 AXES = {2: ("x", "y")}
 ROW = "_row"
@@ -81,58 +81,19 @@ def _pca_points(vectors: DataFrame, width: int, options: dict) -> DataFrame:
         ROW, F.get("_p", F.lit(0)).alias("x"), F.coalesce(F.get("_p", F.lit(1)), F.lit(0.0)).alias("y"))
 
 
-def _narrow(vectors: DataFrame, width: int, options: dict) -> tuple[DataFrame, DataFrame]:
-    """Pre-reduced vectors and the PCA start, shared by the layouts of one call."""
-    if "_narrow" not in options:
-        options["_narrow"] = (
-            materialize(pre_reduce(vectors, "_vec", width, "_vec").select(ROW, "_vec"), "narrow"),
-            materialize(_pca_points(vectors, width, options), "start"),
-        )
-    return options["_narrow"]
-
-
-def _neighbours(vectors: DataFrame, options: dict, k: int) -> DataFrame:
-    """A k-NN graph of at least ``k`` neighbours, shared by the layouts of one call."""
-    from textloom.operators.neighbors import knn_graph
-
-    if options.get("_knn", (0, None))[0] < k:
-        options["_knn"] = (k, materialize(knn_graph(vectors, ROW, "_vec", k), "knn"))
-    return options["_knn"][1].where(F.col("rank") <= k)
-
-
-def _tsne_points(vectors: DataFrame, width: int, options: dict) -> DataFrame:
-    from textloom.operators.affinity import perplexity_affinities
-    from textloom.operators.layout import tsne_layout
-
-    narrow, start = _narrow(vectors, width, options)
-    n = narrow.count()
-    perplexity = min(options.get("perplexity", 30.0), (n - 1) / 3)
-    edges = perplexity_affinities(_neighbours(narrow, options, min(n - 1, int(3 * perplexity))), perplexity)
-    return tsne_layout(start, materialize(edges, "affinities"), steps=options.get("tsne_steps", 500), key=ROW)
-
-
-def _umap_points(vectors: DataFrame, width: int, options: dict) -> DataFrame:
-    from textloom.operators.affinity import fuzzy_graph
-    from textloom.operators.layout import umap_layout
-
-    narrow, start = _narrow(vectors, width, options)
-    k = min(narrow.count() - 1, options.get("n_neighbors", 15))
-    edges = fuzzy_graph(_neighbours(narrow, options, k), k)
-    return umap_layout(start, materialize(edges, "fuzzy"), steps=options.get("umap_steps", 200), key=ROW)
-
-
 Reducer = Callable[[DataFrame, int, dict], DataFrame]
 
-REDUCERS: dict[str, Reducer] = {"pca": _pca_points, "tsne": _tsne_points, "umap": _umap_points}
+REDUCERS: dict[str, Reducer] = {"pca": _pca_points}
+"""By name; add others that take the valid vectors, their width and options, and give ``_row, x, y``."""
 
 
-def reduce(df: DataFrame, id_columns: Sequence[str], vector: str, methods: Sequence[str] = ("pca", "tsne", "umap"),
+def reduce(df: DataFrame, id_columns: Sequence[str], vector: str, methods: Sequence[str] = ("pca",),
            n_components: int = 2, **options) -> DataFrame:
     """Id columns and ``{method}_2d_x``, ``{method}_2d_y`` floats for every input row.
 
     Rows with a null or NaN in the vector take no part in a fit and come back as NaN; so
     does every row when no more than ``n_components`` are valid. Unknown methods are
-    skipped. Options: ``perplexity``, ``n_neighbors``, ``tsne_steps``, ``umap_steps``.
+    skipped. ``options`` go to the reducers.
     """
     if n_components not in AXES:
         raise NotImplementedError(f"n_components={n_components} is not supported")

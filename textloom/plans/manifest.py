@@ -13,11 +13,13 @@ from textloom.sources.sinks import SLICE
 def slices_in_paths(paths: DataFrame, path: Column) -> DataFrame:
     """Distinct ``dataset, config, split`` of landed files at
     ``.../dataset=D/config=C/split=S/...``; a part that is not in the path is null."""
+    return paths.select(*[slice_part(path, p).alias(p) for p in SLICE]).distinct()
 
-    def part(name: str) -> Column:
-        return F.nullif(F.regexp_extract(path, rf"(?:^|/){name}=([^/]+)/", 1), F.lit("")).alias(name)
 
-    return paths.select(*[part(p) for p in SLICE]).distinct()
+def slice_part(path: Column, name: str) -> Column:
+    """A partition value in a path, as it was before the writer escaped it: ``%2F`` is a slash."""
+    raw = F.nullif(F.regexp_extract(path, rf"(?:^|/){name}=([^/]+)/", 1), F.lit(""))
+    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
 
 
 def build_manifest(found: DataFrame, forced_configs: DataFrame, split_overrides: DataFrame,

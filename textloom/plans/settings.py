@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 # Keys a slice may override, with their SQL types.
 SETTING_TYPES = {
     "text_strategy": "string",
+    "text_column": "string",
+    "schema": "string",
     "skip_embedding": "boolean",
     "output_format": "string",
     "chunk_size": "int",
@@ -25,6 +27,8 @@ SETTING_TYPES = {
 # What holds when nothing is set. There is no default model.
 BASE = {
     "text_strategy": "auto",
+    "text_column": None,
+    "schema": None,
     "skip_embedding": False,
     "output_format": "parquet",
     "chunk_size": 50_000,
@@ -32,7 +36,7 @@ BASE = {
     "max_seq_length": 8192,
     "model_id": None,
     "embedding_pooling": "mean_pooling",
-    "reduce_methods": ["pca", "tsne", "umap"],
+    "reduce_methods": ["pca"],
     "reduce_n_components": 2,
 }
 

@@ -34,15 +34,30 @@ def chat_schema(schema: T.StructType) -> T.StructType:
     ])
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_jsonl(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-               union_content: bool = True) -> DataFrame:
-    """JSON Lines; blank and malformed lines are dropped. Pass ``schema`` to spare the
-    inference pass over the files."""
+               union_content: bool = True, mismatch: str | None = None) -> DataFrame:
+    """JSON Lines; blank lines and lines that are no JSON object are dropped, nothing else: a value
+    that does not fit its declared type is null. Pass ``schema`` to spare the inference pass over
+    the files, and a column name as ``mismatch`` to keep the whole line where a value did not fit."""
     if schema is None:
         schema = spark.read.json(path, mode="DROPMALFORMED").schema
         if union_content:
             schema = chat_schema(schema)
-    return spark.read.schema(schema).json(path, mode="DROPMALFORMED")
+    return lenient(spark.read.schema(with_corrupt(schema)).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT), mismatch)
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def lenient(df: DataFrame, mismatch: str | None = None) -> DataFrame:
+    """Rows of a permissive read that stand for JSON objects."""
+    is_object = F.try_variant_get(F.try_parse_json(CORRUPT), "$", "map<string,variant>").isNotNull()
+    kept = df.where(F.col(CORRUPT).isNull() | is_object)
+    return kept.drop(CORRUPT) if mismatch is None else kept.withColumnRenamed(CORRUPT, mismatch)
 
 
 def parsed_lines(lines: DataFrame, line: str = "value") -> DataFrame:
@@ -98,12 +113,22 @@ def read_in_file_order(spark: SparkSession, path: str | list[str]) -> DataFrame:
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     offset = file_offsets(df.groupBy("_file").agg(F.count(F.lit(1)).alias("rows")), F.col("_file"))
     return (
-        df.join(offset.select("_file", "first_row"), "_file")
+        join_by_file(df, offset.select("_file", "first_row"), F.col("_row"))
         .withColumn("row_index", F.col("first_row") + F.col("_row"))
         .drop("_file", "_row", "first_row")
     )
 
 
+SALTS = 64
+
+
+def join_by_file(rows: DataFrame, per_file: DataFrame, row: Column) -> DataFrame:
+    """Rows with the values of their file, ``_file``. The one row per file is repeated ``SALTS`` times,
+    so the rows of one large file come together in many tasks."""
+    salted = per_file.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(row, F.lit(SALTS)).cast("int")).join(salted, ["_file", "_salt"]).drop("_salt")
+
+
 def file_offsets(counts: DataFrame, order: Column) -> DataFrame:
     """First position of each file, given rows per file."""
     from pyspark.sql import Window

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.sources.landed import file_offsets
+from textloom.sources.landed import file_offsets, join_by_file
 
 SLICE = ("dataset", "config", "split")
 
@@ -30,6 +30,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", chunk_size: int
     if chunk_size:
         writer = writer.option("maxRecordsPerFile", chunk_size)
     if fmt == "jsonl":
+        writer = writer.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
         writer.option("ignoreNullFields", "false").json(path)
     else:
         writer.format(fmt).save(path)
@@ -43,12 +44,16 @@ def chunk_plan(df: DataFrame, chunk_size: int, file: Column, row: Column) -> Dat
     per_file = numbered.groupBy("_file").agg((F.floor(F.max("_row") / chunk_size) + 1).cast("long").alias("rows"))
     starts = file_offsets(per_file, F.col("_file"))
     return (
-        numbered.join(starts.select("_file", "first_row"), "_file")
+        join_by_file(numbered, starts.select("_file", "first_row"), F.col("_row"))
         .withColumn("chunk", (F.col("first_row") + F.floor(F.col("_row") / chunk_size) + 1).cast("long"))
         .drop("_file", "_row", "first_row")
     )
 
 
 def rechunk(spark: SparkSession, source: str, target: str, chunk_size: int) -> None:
-    """Copy a Parquet table to files of at most ``chunk_size`` rows; empty files vanish."""
-    write_table(spark.read.parquet(source), target, chunk_size=chunk_size)
+    """Copy a Parquet table so that each chunk of at most ``chunk_size`` rows, of one source file each,
+    is one file; empty files vanish. A chunk is written whole by the task its number is dealt to."""
+    rows = spark.read.parquet(source)
+    plan = chunk_plan(rows, chunk_size, F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    columns = [F.col(f"`{c}`") for c in rows.columns]
+    plan.select(*columns, F.col("chunk").alias("part")).repartition("part").sortWithinPartitions("part").write.mode("overwrite").partitionBy("part").parquet(target)

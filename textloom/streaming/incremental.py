@@ -8,14 +8,15 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from textloom.operators.normalize import normalize
+from textloom.sources.landed import CORRUPT, lenient, with_corrupt
 
 
 def landed_stream(spark: SparkSession, landing: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
-    """JSON Lines files as a stream, malformed lines dropped."""
-    reader = spark.readStream.schema(schema).option("mode", "DROPMALFORMED")
+    """JSON Lines files as a stream; only lines that are no JSON object are dropped."""
+    reader = spark.readStream.schema(with_corrupt(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(landing).select("*", F.col("_metadata.file_name").alias("file_name"))
+    return lenient(reader.json(landing).select("*", F.col("_metadata.file_name").alias("file_name")))
 
 
 def incremental_ingest(spark: SparkSession, landing: str, schema: T.StructType, source: str, sink: str,
