@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from textloom.llm import bpe, chat, decontaminate, language, passages, private, simhash, suffixes, toxicity, vectors
 from textloom.llm.common import documents, held_out, text_hex
+from textloom.llm.sql import ORACLES as SQL
 from textloom.session import materialize
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(SQL)
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
