@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from textloom.functions.text import let
 from textloom.llm.common import quoted
 from textloom.session import materialize
 
@@ -63,18 +64,16 @@ def valid(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def cut(text: Column, form: str, hint: str) -> tuple[Column, Column]:
-    """The matches of a form, and the pieces of text before each and after the last."""
-    none = F.array().cast("array<string>")
-    some = text.rlike(hint)
-    return F.when(some, F.regexp_extract_all(text, F.lit(form), F.lit(0))).otherwise(none), F.when(some, F.split(text, form, -1)).otherwise(F.array(text))
+def cut(text: Column, form: str, hint: str, use, none: Column) -> Column:
+    """``use(matches, pieces)`` of the matches of a form and the pieces of text before each and after the
+    last; ``none`` for texts without a ``hint``. Both lists are made once."""
+    both = F.struct(F.regexp_extract_all(text, F.lit(form), F.lit(0)).alias("m"), F.split(text, form, -1).alias("p"))
+    return F.when(text.rlike(hint), let(both, lambda b: use(b["m"], b["p"]))).otherwise(none)
 
 
 def mentions(text: Column, kind: str) -> Column:
     """Spans of a kind: ``(start, end, text, before)``, in code points; ``before`` is the text since the last match."""
-    matches, pieces = cut(text, FORMS.get(kind, TOKEN), HINTS.get(kind, "[0-9@]"))
-    both = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,text:string,before:string>>").alias("out"))
+    none = F.array().cast("array<struct<start:int,end:int,text:string,before:string>>")
 
     def step(s, x):
         start = s["at"] + F.length(x["p"])
@@ -82,20 +81,28 @@ def mentions(text: Column, kind: str) -> Column:
         found = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("text"), F.right(x["p"], F.lit(TAIL)).alias("before"))
         return F.struct(end.alias("at"), F.when(valid(kind, x["m"]), F.concat(s["out"], F.array(found))).otherwise(s["out"]).alias("out"))
 
-    return F.aggregate(both, empty, step, lambda s: s["out"])
+    def spans(matches, pieces):
+        both = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+        return F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda s: s["out"])
+
+    return cut(text, FORMS.get(kind, TOKEN), HINTS.get(kind, "[0-9@]"), spans, none)
 
 
 def pattern_of(before: Column) -> Column:
     """The label glued to what follows, or else the two words before it, in lower case."""
-    words = F.split(F.lower(before), r"\s+", -1)
-    two = F.concat_ws(" ", F.get(words, F.size(words) - 3), F.get(words, F.size(words) - 2))
-    return F.when(F.get(words, F.size(words) - 1) != "", F.get(words, F.size(words) - 1)).otherwise(two)
+    def made(words):
+        last = F.element_at(words, -1)
+        return F.when(last != "", last).otherwise(F.concat_ws(" ", F.get(words, F.size(words) - 3), F.get(words, F.size(words) - 2)))
+
+    return let(F.split(F.lower(before), r"\s+", -1), made)
 
 
 def patterns_in(text: Column) -> Column:
     """The pattern in front of each word of a text."""
-    words = F.split(F.lower(text), r"\s+", -1)
-    return F.transform(words, lambda w, i: F.when(w.rlike(LABEL), F.regexp_extract(w, LABEL, 0)).when(i > 1, F.concat(F.get(words, i - 2), F.lit(" "), F.get(words, i - 1))))
+    def made(words):  # a list once made: each word looks at the two before it
+        return F.transform(words, lambda w, i: F.when(w.rlike(LABEL), F.regexp_extract(w, LABEL, 0)).when(i > 1, F.concat(F.get(words, i - 2), F.lit(" "), F.get(words, i - 1))))
+
+    return let(F.split(F.lower(text), r"\s+", -1), made)
 
 
 def spans_of(kind: str) -> Column:
@@ -158,10 +165,13 @@ def written(spans: Column) -> Column:
 
 def masked(text: Column, kind: str) -> Column:
     """``text`` with each span of a kind written as ``<KIND>``."""
-    matches, pieces = cut(text, FORMS[kind], HINTS[kind])
     mark = F.lit(f"<{kind.upper()}>")
-    before = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.concat(p, F.when(valid(kind, m), mark).otherwise(m)))
-    return F.concat(F.array_join(before, ""), F.element_at(pieces, -1))
+
+    def joined(matches, pieces):
+        before = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.concat(p, F.when(valid(kind, m), mark).otherwise(m)))
+        return F.concat(F.array_join(before, ""), F.element_at(pieces, -1))
+
+    return cut(text, FORMS[kind], HINTS[kind], joined, text)
 
 
 def redact(docs: DataFrame, text: str = "text", into: str = "text") -> DataFrame:
