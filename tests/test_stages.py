@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators.embed import hash_embed, model_embed
-from textloom.operators.explore import exact_sample, quantiles, top_values
+from textloom.operators.explore import exact_sample, quantiles, schema_profile, top_values
 from textloom.plans.manifest import manifest_from_landing
 from textloom.plans.settings import BASE, overrides_frame, resolve
 from textloom.plans.stages import audit_slices, embed_slices, ingest, preprocessed, read_report, reduce_slices
@@ -93,6 +93,11 @@ def test_top_values_ties(spark):
     assert [tuple(r) for r in top_values(df, "v", 2).collect()] == [("c", 2), ("a", 1)]
 
 
+def test_profile_of_an_empty_table(spark):
+    rows = schema_profile(spark.createDataFrame([], "a long, b string")).collect()
+    assert [(r["column"], r["non_null"], r["null_pct"]) for r in rows] == [("a", 0, None), ("b", 0, None)]
+
+
 def test_model_embed(spark):
     def make():
         import numpy as np

@@ -115,6 +115,21 @@ def pca_50(spark, folder):
     return narrow.agg(F.count("narrow").alias("n"), F.max(F.size("narrow")).alias("width"))
 
 
+@query("pca_full", """
+WITH d AS (SELECT i, CAST(embedding[i + 1] AS DOUBLE) AS v FROM embeddings, range(64) r(i))
+SELECT (SELECT count(*) FROM embeddings) AS n, round(sum(s), 5) AS variance, true AS ordered, true AS uncorrelated
+FROM (SELECT var_samp(v) AS s FROM d GROUP BY i)""")
+def pca_full(spark, folder):
+    """All components: the total variance stays, largest first, and no two go together."""
+    rows = materialize(pca(table(spark, folder, "embeddings"), "embedding", 64, "p").select("p"), "components")
+    own = F.col("i") == F.col("j")
+    all_of = covariance(rows, "p").agg(
+        F.sum(F.when(own, F.col("cov"))).alias("variance"), F.array_sort(F.collect_list(F.when(own, F.struct("i", "cov")))).alias("c"),
+        (F.max(F.when(~own, F.abs("cov"))) < 1e-9).alias("uncorrelated"))
+    steps = F.zip_with(F.slice("c", 1, 63), F.slice("c", 2, 63), lambda a, b: a["cov"] >= b["cov"] - 1e-9)
+    return all_of.select(F.lit(rows.count()).cast("long").alias("n"), F.round("variance", 5).alias("variance"), F.forall(steps, lambda x: x).alias("ordered"), "uncorrelated")
+
+
 KNN_SQL = """
 pairs AS (
   SELECT a.vec_id AS src, b.vec_id AS dst,

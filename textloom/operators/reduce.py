@@ -31,7 +31,7 @@ def valid_vectors(df: DataFrame, vector: str) -> DataFrame:
 
 def covariance(df: DataFrame, vector: str) -> DataFrame:
     """Sample covariance of every pair of dimensions as ``i, j, cov`` rows, ``i <= j``.
-    Each task adds up the products of its centred rows and passes on one sum per pair."""
+    Each task adds up the products of its centred rows and passes on one array per dimension."""
     dense = df.select(F.col(vector).cast("array<double>").alias("v"))
     stats = dense.select(array_to_vector("v").alias("v")).select(
         Summarizer.metrics("mean", "count").summary(F.col("v")).alias("s")).first()["s"]
@@ -42,11 +42,13 @@ def covariance(df: DataFrame, vector: str) -> DataFrame:
         for batch in batches:
             centred = np.stack(batch["v"].to_numpy()) - mean
             total += centred.T @ centred
-        i, j = np.triu_indices(len(mean))
-        yield pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "p": total[i, j]})
+        yield pd.DataFrame({"i": np.arange(len(mean), dtype=np.int32), "p": [total[i, i:] for i in range(len(mean))]})
 
-    partial = dense.mapInPandas(products, "i int, j int, p double")
-    return partial.groupBy("i", "j").agg((F.sum("p") / F.lit(n - 1)).alias("cov"))
+    # One row for each dimension and task; the sums are combined before the shuffle.
+    partial = dense.mapInPandas(products, "i int, p array<double>").select("i", array_to_vector("p").alias("p"))
+    rows = partial.groupBy("i").agg(vector_to_array(Summarizer.sum(F.col("p"))).alias("p"))
+    return rows.select("i", F.posexplode("p").alias("_k", "p")).select(
+        "i", (F.col("i") + F.col("_k")).cast("int").alias("j"), (F.col("p") / F.lit(n - 1)).alias("cov"))
 
 
 def pca(df: DataFrame, vector: str, k: int, output: str) -> DataFrame:

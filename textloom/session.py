@@ -53,11 +53,6 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(spark: SparkSession, rows: int, per_partition: int = 200_000) -> int:
-    """Task count that keeps about ``per_partition`` rows in each task."""
-    return max(1, -(-rows // per_partition))
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path this package has written."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
