@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 
 from textloom.llm.common import OUTPUT_BYTES, appended, worker_store
 
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 200_000
 CACHED_LENGTH = 32
-PORTION = 5_000_000
+PORTION = 3_000_000
 """About how many chunks a worker remembers, the longest it does, and the characters encoded
 together: matters of speed and memory only."""
 
