@@ -49,7 +49,6 @@ class Bytes:
         x = text.astype("u8")
         for step in (1, 2, 4):
             x = x[:-step] << np.uint64(8 * step) | x[step:]
-        self.eight = x  # the eight bytes from each place, as a number
         hashed = mixed(x[:-8] ^ mixed(x[8:], 5), 6)
         bits = np.uint64(max(1, n.bit_length()))
         keyed = hashed >> bits << bits | np.arange(len(hashed), dtype="u8")
@@ -61,29 +60,37 @@ class Bytes:
             reach *= 2
         if reach < width:
             least = np.minimum(least[:len(least) - (width - reach)], least[width - reach:])
+        del keyed
         anchor = (least & (np.uint64(1) << bits) - np.uint64(1)).astype("i8")  # by the window's first byte
+        del least
         starts = np.repeat(self.first - np.concatenate([[0], np.cumsum(np.maximum(sizes - LENGTH + 1, 0))[:-1]]), np.maximum(sizes - LENGTH + 1, 0)) if len(sizes) else np.zeros(0, "i8")
         place = np.arange(len(starts)) + starts  # the windows inside one document
         of = anchor[place]
+        del anchor, starts
         new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (place[1:] != place[:-1] + 1)])) if len(place) else np.zeros(0, "i8")
         last = np.append(new[1:], len(place))[:len(new)] - 1
         self.anchor = of[new]
         self.far, self.near = self.anchor - place[new], self.anchor - place[last]  # from the windows' first bytes to the anchor
         self.doc = np.searchsorted(ends, self.anchor)
         self.key = hashed[self.anchor]
+        self.head = x[self.anchor]  # the eight bytes from the anchor, as a number
 
     def suffixes(self, some):
         """The suffixes of the anchors with numbers ``some``, one row of WIDE bytes each."""
         import numpy as np
 
-        at = self.anchor[some]
-        out = np.zeros((len(at), WIDE), "u1")
-        right, left = LENGTH - self.near[some], self.far[some]
-        k = np.arange(LENGTH)
-        out[:, :LENGTH] = np.where(k < right[:, None], self.text[at[:, None] + k], 0)
-        k = np.arange(LEFT)
-        out[:, LENGTH:LENGTH + LEFT] = np.where(k < left[:, None], self.text[at[:, None] - 1 - k], 0)
-        out[:, -2], out[:, -1] = right, left
+        out = np.zeros((len(some), WIDE), "u1")
+        step = 1 << 14
+        for start in range(0, len(some), step):
+            part = some[start:start + step]
+            to = out[start:start + step]
+            at = self.anchor[part][:, None]
+            right, left = LENGTH - self.near[part], self.far[part]
+            k = np.arange(LENGTH)
+            to[:, :LENGTH] = np.where(k < right[:, None], self.text[at + k], 0)
+            k = np.arange(LEFT)
+            to[:, LENGTH:LENGTH + LEFT] = np.where(k < left[:, None], self.text[at - 1 - k], 0)
+            to[:, -2], to[:, -1] = right, left
         return out
 
 
@@ -277,7 +284,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         for number, (k, often) in split_by(part, np.arange(len(keys)), keys >> np.uint64(16) << np.uint64(16), several.astype("u1")):
             yield number, press(k, often)
         if len(data.anchor):
-            heads = np.sort(data.eight[data.anchor])
+            heads = np.sort(data.head)
             yield -1, press(heads[np.linspace(0, len(heads) - 1, SAMPLES).astype("i8")])
 
     sent = materialize(send(blocks, say_anchors), "anchors")
@@ -305,7 +312,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         suffixes = data.suffixes(some)
         first = np.unique(suffixes.view(f"S{WIDE}").ravel(), return_index=True)[1]  # sorted; the first is of the smallest document
         suffixes, ids = suffixes[first], data.ids[data.doc[some[first]]]
-        part = np.searchsorted(cuts, data.eight[data.anchor[some[first]]], side="right")
+        part = np.searchsorted(cuts, data.head[some[first]], side="right")
         for number, (mine,) in split_by(part, np.arange(len(first)), np.arange(len(first))):
             yield number, press(*front_code(suffixes[mine]), ids[mine])
 
@@ -317,7 +324,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         data = Bytes(rows)
         known, masks = merged(replies, 2)
         every = np.arange(len(data.anchor))
-        name = np.concatenate([names(data.suffixes(every[k:k + (1 << 17)])) for k in range(0, len(every), 1 << 17)]) if len(every) else np.zeros(0, "u8")
+        name = np.concatenate([names(data.suffixes(every[k:k + (1 << 15)])) for k in range(0, len(every), 1 << 15)]) if len(every) else np.zeros(0, "u8")
         _, first, at = np.unique(name, return_index=True, return_inverse=True)
         whole = data.ids[data.doc] > data.ids[data.doc[first[at]]] if len(every) else np.zeros(0, bool)
         marks = np.zeros(len(data.text) + LENGTH + 1, "i4")
