@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from textloom.operators.embed import hash_embed, model_embed
-from textloom.operators.explore import exact_sample, quantiles, schema_profile, top_values
+from textloom.operators.explore import exact_sample, expand_json, quantiles, schema_profile, top_values
 from textloom.plans.manifest import manifest_from_landing
 from textloom.plans.settings import BASE, overrides_frame, resolve
 from textloom.plans.stages import audit_slices, embed_slices, ingest, preprocessed, read_report, reduce_slices
@@ -98,6 +98,12 @@ def test_profile_of_an_empty_table(spark):
     assert [(r["column"], r["non_null"], r["null_pct"]) for r in rows] == [("a", 0, None), ("b", 0, None)]
 
 
+def test_json_keys_named_like_types(spark):
+    df = spark.createDataFrame([('{"VOID": 1, "none": null, "in": {"OBJECT": [null]}}',)], "j string")
+    row = expand_json(df, "j").first().asDict()
+    assert row == {"VOID": 1, "in.OBJECT": [None], "none": None}
+
+
 def test_model_embed(spark):
     def make():
         import numpy as np

@@ -30,7 +30,9 @@ def infer_json_schema(df: DataFrame, column: str) -> T.StructType:
     merged = df.agg(F.schema_of_variant_agg(F.try_parse_json(column)).alias("s")).first()["s"]
     if not (merged or "").startswith("OBJECT<"):
         raise ValueError(f"{column} holds no JSON objects")
-    ddl = re.sub(r"\bVOID\b", "STRING", merged.replace("OBJECT<", "STRUCT<"))
+    # Types only, not keys of the same names.
+    ddl = re.sub(r"(^|: |<)OBJECT<", r"\1STRUCT<", merged)
+    ddl = re.sub(r"(: |<)VOID(?=[,>])", r"\1STRING", ddl)
     return df.sparkSession.sql(f"SELECT CAST(NULL AS {ddl}) AS c").schema[0].dataType
 
 
