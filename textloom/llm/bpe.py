@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from textloom.llm.common import OUTPUT_BYTES, appended, worker_store
 
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 120_000
 CACHED_LENGTH = 32
 PORTION = 3_000_000
 """About how many chunks a worker remembers, the longest it does, and the characters encoded

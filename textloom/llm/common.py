@@ -34,7 +34,24 @@ def appended(df: DataFrame, function: Callable[[Iterator], Iterator], *fields: t
     kept = without(df, *[n for n, _ in fields])
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in kept.schema.fields],
                            *[T.StructField(n, t, True) for n, t in fields]])
-    return kept.mapInArrow(function, schema)
+
+    def whole(batches):
+        yield from function(batches)
+        give_back()
+
+    return kept.mapInArrow(whole, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker outlives its task, beside those of later stages."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 def per_text(text: str, compute: Callable, weigh: Callable[[object], int], *kinds):

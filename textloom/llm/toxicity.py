@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import appended, per_text, quoted
+from textloom.llm.common import appended, give_back, per_text, quoted
 from textloom.session import materialize, remove
 
 BITS = 17
@@ -32,7 +32,7 @@ DECAY = 1e-5
 LEAST_DOCUMENTS = 3
 """A feature of fewer sampled documents has no weight: it would learn those by heart."""
 BEGINNINGS = (4, 5, 6)
-CACHED_WORDS = 300_000
+CACHED_WORDS = 60_000
 OFFENDING = 0.5
 
 
@@ -80,6 +80,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc: str, text: str, label
                     known.clear()
                 if ends:
                     yield pa.record_batch([batch.column(0)[i:i + 1], pa.array([numbers], pa.list_(pa.int32())), pa.array([ends], pa.list_(pa.int32()))], names=["toxic", "features", "ends"])
+        known.clear()
+        give_back()
 
     return rows.mapInArrow(function, "toxic double, features array<int>, ends array<int>")
 
