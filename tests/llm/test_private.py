@@ -69,3 +69,10 @@ def test_redacted(spark):
     df = spark.createDataFrame([(1, "mail a@b.c or +1 (873) 555-4781, 4111 1111 1111 1111; 1.2.3.4 v1.2", "z"), (2, None, "y")], "doc_id long, text string, found string")
     rows = {r.doc_id: r for r in private.redact(df).collect()}
     assert rows[1].text == "mail <EMAIL> or <PHONE>, <CARD>; <IP> v1.2" and rows[1].found == "z" and rows[2].text is None
+
+
+def test_overlapping_kinds_leave_no_rest(spark, table):
+    texts = ["call +49.30.12.34 567 now", "+49.30.12.34 567", "mail 1.2.3.4@b.c, 1.2.3.4", "\U0001f600 +49.30.12.34 567 a@b.c", "+49 30 123456 1.2.3.4 99999999", None, ""]
+    rows = {r.doc_id: r.text for r in private.redact(table(texts)).collect()}
+    assert rows == {0: "call <PHONE> now", 1: "<PHONE>", 2: "mail <EMAIL>, <IP>", 3: "\U0001f600 <PHONE> <EMAIL>",
+                    4: "<PHONE> <IP> 99999999", 5: None, 6: ""}

@@ -42,6 +42,7 @@ ROUNDS = 3
 BUCKETS = 1 << 17
 """Patterns are looked for by hash bucket first: a table of this many bytes, however many patterns there are."""
 TAIL = 200
+SPANS = "array<struct<start:int,place:int,kind:string,end:int>>"
 
 
 def luhn(digits: Column) -> Column:
@@ -105,8 +106,8 @@ def patterns_in(text: Column) -> Column:
     return let(F.split(F.lower(text), r"\s+", -1), made)
 
 
-def spans_of(kind: str) -> Column:
-    return F.transform(kind, lambda m: F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+def spans_of(kind: str, found: Column | None = None) -> Column:
+    return F.transform(F.col(kind) if found is None else found, lambda m: F.struct(m["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"), F.lit(kind).alias("kind"), m["end"].alias("end")))
 
 
 def mentions_of(kind: str) -> Column:
@@ -150,7 +151,7 @@ def find(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     found = materialize(found.groupBy("row").agg(F.collect_list(F.struct("start", place.alias("place"), F.col("as").alias("kind"), "end")).alias("more")), "found")
     out = rows.select("row", "doc", base.alias("base")).join(found, "row", "left")
     free = F.filter("more", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    return out.select("row", "doc", "base", F.coalesce(F.array_sort(free), F.array().cast("array<struct<start:int,place:int,kind:string,end:int>>")).alias("found"))
+    return out.select("row", "doc", "base", F.coalesce(F.array_sort(free), F.array().cast(SPANS)).alias("found"))
 
 
 def count_of(kind: str) -> Column:
@@ -174,14 +175,35 @@ def masked(text: Column, kind: str) -> Column:
     return cut(text, FORMS[kind], HINTS[kind], joined, text)
 
 
+def merged(spans: Column) -> Column:
+    """Spans without overlap, in order: those that overlap are one, of the kind of the first."""
+    def step(done, s):
+        last = F.element_at(done, -1)
+        joined = F.struct(last["start"].alias("start"), last["place"].alias("place"), last["kind"].alias("kind"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] > s["start"]), F.concat(F.slice(done, 1, F.size(done) - 1), F.array(joined))).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(F.array_sort(spans), F.array().cast(SPANS), step)
+
+
+def without_spans(text: Column, spans: Column) -> Column:
+    """``text`` with each of the merged spans written as its kind."""
+    def made(s):
+        before = F.transform(s, lambda m, i: let(F.when(i > 0, F.get(s, i - 1)["end"]).otherwise(0), lambda at: F.concat(
+            F.substr(text, at + 1, m["start"] - at), F.lit("<"), F.upper(m["kind"]), F.lit(">"))))
+        return F.when(F.size(s) > 0, F.concat(F.array_join(before, ""), F.substr(text, F.try_element_at(s, F.lit(-1))["end"] + 1))).otherwise(text)
+
+    return let(spans, made)
+
+
 def redact(docs: DataFrame, text: str = "text", into: str = "text") -> DataFrame:
-    """``docs`` with all that ``find`` finds in a text written as its kind, ``<EMAIL>``; null stays null."""
+    """``docs`` with all that ``find`` finds in a text written as its kind, ``<EMAIL>``; null stays null. Spans
+    that overlap are cut out as one, of the kind of the first."""
     numbered = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    spans = find(numbered, "_row", text).where(F.size("found") > 0).select(F.col("doc").alias("_row"), F.col("found").alias("_found"))
-    marked = numbered.join(spans, "_row", "left")
-    cutout = F.aggregate(F.reverse("_found"), quoted(text), lambda t, s: F.concat(F.substr(t, F.lit(1), s["start"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"), F.substr(t, s["end"] + 1)))
-    marked = marked.withColumn("_body", F.when(F.col("_found").isNull(), quoted(text)).otherwise(cutout))
-    for kind in KINDS:  # each reads what the one before has left
+    found = find(numbered, "_row", text).where(F.size("found") > 0).select(F.col("doc").alias("_row"), F.col("found").alias("_found"))
+    marked = numbered.join(found, "_row", "left")
+    spans = F.concat(F.coalesce("_found", F.array().cast(SPANS)), *[spans_of(k, mentions(quoted(text), k)) for k in KINDS])
+    marked = marked.withColumn("_body", F.when(quoted(text).isNotNull(), without_spans(quoted(text), merged(spans))))
+    for kind in KINDS:  # what a span cut out has left may have a form of its own; each reads what the one before has left
         marked = marked.withColumn("_body", masked(F.col("_body"), kind))
     kept = [quoted(c) for c in docs.columns if c.lower() != into.lower()]
     return marked.select(*kept, F.col("_body").alias(into))
