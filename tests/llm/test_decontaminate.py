@@ -82,3 +82,15 @@ def test_cut_and_clashing_names(spark):
     rows = {r.doc_id: r.clean_text for r in decontaminate.cut(marked, least_words=3).collect()}
     assert rows == {1: "Start. ! end", 2: None}
     assert {r.doc_id: r.clean_text for r in decontaminate.cut(marked).collect()}[1].startswith("Start. The")
+
+
+def test_pipeline_cuts_passages_of_long_documents(spark, table, folder):
+    import corpus_pipeline
+
+    item = " ".join(f"b{k}" for k in range(200))
+    long = [" ".join(f"w{k}" for k in range(10_000)), " ".join(f"v{k}" for k in range(9_800))]
+    docs = table([f"{long[0]} {item}. {long[1]}", f"{item} {' '.join(f'w{k}' for k in range(300))}", "untouched,  text", None])
+    at = folder(benchmark=spark.createDataFrame([(1, item)], "item_id long, text string"))
+    rows = {r.doc_id: r for r in corpus_pipeline.drop_contaminated(spark, docs, at).collect()}
+    assert {k: r.text for k, r in rows.items()} == {0: f"{long[0]} . {long[1]}", 2: "untouched,  text", 3: None}
+    assert rows[0].n_chars == len(rows[0].text) and rows[2].n_chars == len("untouched,  text")
