@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +43,29 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+_MADE: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder."""
-    return f"{shared_root(spark).rstrip('/')}/textloom-{uuid.uuid4().hex}/{name}"
+    own = f"{shared_root(spark).rstrip('/')}/textloom-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(own)
+    return f"{own}/{name}"
+
+
+@contextlib.contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes on leaving what was written to scratch paths inside. Results that read them must be written by then,
+    to a path taken outside."""
+    held = _MADE.set([])
+    try:
+        yield
+    finally:
+        for path in _MADE.get():
+            remove(spark, path)
+        _MADE.reset(held)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
