@@ -4,51 +4,73 @@ reads what the stage before it has written.
 Every stage takes ``(spark, docs, sf_dir)`` and keeps the columns of ``documents``, but for the last, which gives
 the tokens. Null and empty texts are not toxic, are near copies of each other, hold no benchmark words and
 no personal data, and have no tokens. Repeated ids are rows of their own. Columns beside ``doc_id`` and ``text``
-pass through.
+pass through whatever their names: while an operator works they go by names of their position, so that its
+own columns cannot meet them. ``n_chars``, where there is one, follows a text that was changed.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, near_copies, private, toxicity
-from textloom.llm.common import documents, text_hex
-from textloom.session import materialize
+from textloom.llm import bpe, decontaminate, private, simhash, toxicity
+from textloom.llm.common import documents, quoted, text_hex
+from textloom.session import materialize, scratch_path, scratch_tables
 
 TOXIC = 0.5
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
+def apart(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, and all other columns named by their position."""
+    return docs.select("doc_id", "text", *[quoted(c).alias(f"input_{k}") for k, c in enumerate(docs.columns) if c not in ("doc_id", "text")])
+
+
+def restored(df: DataFrame, docs: DataFrame, changed: Column | None = None) -> DataFrame:
+    """The columns of ``docs`` in their order, out of a table made from ``apart(docs)``. Where ``changed`` is true,
+    or always where it is not given but the text may differ, ``n_chars`` is counted anew."""
+
+    def column(k: int, name: str) -> Column:
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        if name == "n_chars" and changed is not None:
+            return F.when(changed, F.length("text").cast(docs.schema[name].dataType)).otherwise(F.col(f"input_{k}")).alias(name)
+        return F.col(f"input_{k}").alias(name)
+
+    return df.select(*[column(k, c) for k, c in enumerate(docs.columns)])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below ``TOXIC``, by a scorer learned from the labels of these documents."""
-    scorer = toxicity.fit(docs, documents(spark, sf_dir, "labels"))
-    return toxicity.score(docs, scorer).where(F.col("toxicity") < TOXIC).select(docs.columns)
+    scorer = toxicity.fit(docs.select("doc_id", "text"), documents(spark, sf_dir, "labels"))
+    return restored(toxicity.score(apart(docs), scorer).where(F.col("toxicity") < TOXIC), docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, Jaccard similarity of 0.8 or more, and what such links
-    connect) the document with the smallest id; of rows with that id, the one whose text has the smallest hash,
-    and of equal rows one. A null id comes last."""
-    return near_copies.first_of_each(docs, [F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text")])
+    """Of each group of near copies (the SimHash operator with its own shingles and distance) the document with the
+    smallest id; of rows with that id, the one whose text has the smallest hash, and of equal rows one. A null id
+    comes last. Rows are told apart by a number that is written, so that it is the same wherever it is read."""
+    rows = materialize(apart(docs).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    marked = simhash.fingerprints(rows.select("row", "doc_id", "text"), "text", "mark")
+    small = materialize(marked.select("row", "doc_id", "mark", F.xxhash64("text").alias("hash")), "marks")
+    first = simhash.with_components(small, "doc_id", "mark").groupBy("component_point").agg(
+        F.min_by("row", F.struct(F.col("doc_id").isNull(), "doc_id", "hash", "row")).alias("row"))
+    return restored(rows.join(first.select("row"), "row", "left_semi"), docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which less than one word in twenty lies in a benchmark window, without the spans of
     ``decontaminate.WINDOW`` or more such words, and the length to match."""
-    marked = decontaminate.mark(docs, documents(spark, sf_dir, "benchmark"))
-    clean = decontaminate.cut(marked.where(~decontaminate.contaminated()), into="_clean")
-    return clean.withColumn("text", F.col("_clean")).withColumn("n_chars", F.when(_has_span(), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
-
-
-def _has_span():
-    return F.exists("hit_spans", lambda s: s["end"] - s["start"] >= decontaminate.WINDOW)
+    marked = decontaminate.mark(apart(docs), documents(spark, sf_dir, "benchmark"))
+    clean = decontaminate.cut(marked.where(~decontaminate.contaminated()), into="clean_text")
+    has_span = F.exists("hit_spans", lambda s: s["end"] - s["start"] >= decontaminate.WINDOW)
+    return restored(clean.withColumn("text", F.col("clean_text")), docs, has_span)
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data in their texts written as its kind, and the length to match."""
-    return private.redact(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return restored(private.redact(apart(docs)), docs, F.lit(True))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,5 +96,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written as Parquet in the shared folder and read again."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, name)
+        with scratch_tables(spark):  # what a stage has written on the way goes when its result stands
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
