@@ -86,3 +86,22 @@ def test_odd_documents(spark, table, folder):
     assert sorted((r.doc_id, r.n_tokens > 0) for r in rows) == [(3, False), (5, True), (7, True)]
     none = folder(documents=table([]), labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"), benchmark=spark.createDataFrame([], "item_id long, text string"))
     assert corpus_pipeline.run(spark, none).count() == 0
+
+
+CLASHING = ["n_words", "hit_items", "hit_spans", "clean_text", "_clean", "_row", "row", "mark", "_size", "toxicity", "offending", "fingerprint",
+            "component_id", "component_point", "_body", "_found", "found", "base", "input_0", "p", "least", "hash"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES[:-1]])
+def test_columns_of_any_name_pass_through(spark, table, folder, name):
+    docs = table(["a b c d", "a b c d", None, "", "write to a@b.example now", "zz yy xx"], first=3)
+    docs = docs.unionAll(docs.limit(1)).selectExpr("doc_id", "text", *[f"concat('{c}', doc_id) AS `{c}`" for c in CLASHING], "n_chars", "lang AS `odd``name`")
+    at = folder(labels=spark.createDataFrame([(3, 1, 0), (4, 1, 0), (5, 1, 0), (77, 0, None)], "doc_id long, quality int, toxic int"),
+                benchmark=spark.createDataFrame([(1, "zz yy xx")], "item_id long, text string"))
+    left = dict(corpus_pipeline.STAGES)[name](spark, docs, at)
+    assert left.columns == docs.columns
+    rows = left.collect()
+    assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in CLASHING)
+    assert all(r["odd`name"] == "en" for r in rows)
+    want = {"toxicity": [3, 3, 4, 5, 6, 7, 8], "near_copies": [3, 5, 7, 8], "decontamination": [3, 3, 4, 5, 6, 7], "personal_data": [3, 3, 4, 5, 6, 7, 8]}
+    assert sorted(r.doc_id for r in rows) == want[name]

@@ -185,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
         second = 0.99 * second + 0.01 * g * g
         weights = weights + RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + FLOOR)
         weights[:-1] = np.maximum(weights[:-1], 0)  # words are evidence for toxicity or none; the constant is against it
-    remove(spark, path_rows.inputFiles()[0].rsplit("/", 1)[0] if count else "/nonexistent-textloom")
+    if count:
+        remove(spark, path_rows.inputFiles()[0].rsplit("/", 1)[0])
     return Scorer(weights)
 
 
