@@ -14,6 +14,6 @@ def test_matches_sql(spark, data, name):
 
 def test_all_are_registered():
     names = {n.split("_")[0] for n in queries.QUERIES}
-    assert names == {f"op{k}" for k in range(1, 11)}
+    assert names == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry_point.queries())
     assert set(queries.ORACLES) <= set(entry_point.oracle_sql())

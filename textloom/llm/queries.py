@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, chat, decontaminate, language, passages, private, simhash, suffixes, toxicity, vectors
+from textloom.functions.text import let
+from textloom.llm import bpe, chat, decontaminate, language, passages, prefix_trie, private, runs, simhash, suffixes, toxicity, url_filter, vectors
 from textloom.llm.common import documents, held_out, text_hex
 from textloom.llm.sql import ORACLES as SQL
 from textloom.session import materialize
@@ -115,3 +116,50 @@ def op2_private(spark: SparkSession, folder: str) -> DataFrame:
         F.col("doc").alias("doc_id"), *[private.count_of(k).alias(f"n_{k}") for k in private.KINDS],
         text_hex(private.written(F.col("base"))).alias("base_sha256"),
         private.written(F.array_sort(F.concat("base", "found"))).alias("spans"), F.size("found").cast("long").alias("n_found"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The prefix trie of all conversations, each of which first takes the beginning of another."""
+    own = materialize(prefix_trie.sequences(documents(spark, folder, "conversations")), "sequences")
+    of = F.col("conv") - F.col("conv") % 5
+    heads = own.where("conv % 5 = 0").select(F.col("conv").alias("base"), F.slice("turns", 1, 8).alias("head"))
+    shared = (F.crc32(F.encode(F.col("conv").cast("string"), "utf-8")) % 9).cast("int")
+    rebuilt = own.withColumns({"base": of, "h": shared}).join(heads, "base", "left")
+    begun = F.coalesce(F.slice("head", F.lit(1), F.col("h")), F.array().cast("array<string>"))
+    rebuilt = rebuilt.select("conv", F.concat(begun, F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns"), F.lit(1)))).alias("turns"))
+    return prefix_trie.nodes(rebuilt).select(
+        F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), F.coalesce("ends", F.sha2(F.lit(b""), 256)).alias("ends_sha256"))
+
+
+@query
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """The periodic runs of every document, some of which are first made periodic from a word on."""
+    mark = F.crc32(F.encode(F.col("doc_id").cast("string"), "utf-8"))
+    draw = F.floor(mark / 10)
+
+    def periodic(words: Column) -> Column:
+        size = F.size(words)
+        first = (draw % size).cast("int")
+        span = (F.lit(1) + F.floor((size - first) / (F.lit(3) + draw % 8))).cast("int")
+        turned = F.transform(words, lambda w, i: F.when(i < first, w).otherwise(F.get(words, first + (i - first) % span)))
+        return F.when(size > 0, F.array_join(turned, " ")).otherwise("")
+
+    text = F.when(mark % 10 == 0, let(F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), periodic)).otherwise(F.col("text"))
+    found = runs.find_runs(documents(spark, folder).select("doc_id", text.alias("text")))
+    best = F.col("best")
+    return found.select("doc_id", "runs", "collapsed", runs.greatest().alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        text_hex(runs.written()).alias("runs_sha256"), text_hex(F.col("collapsed")).alias("collapsed_sha256"))
+
+
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@query
+def op13_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The verdict on every page's URL."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return url_filter.judge(documents(spark, folder, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")

@@ -11,6 +11,13 @@ def escaped(text: str) -> str:
     return text
 
 
+def crc32(text: str) -> str:
+    """The CRC-32 of a text of ASCII characters: its bytes and eight shifts for each, one after the other."""
+    steps = f"flatten([[CAST(ord(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR ch IN string_split({text}, '')])"
+    return (f"xor(4294967295, list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {steps}), "
+            "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))")
+
+
 ORACLES = {
     "op6_chat": f"""
 WITH c AS (
@@ -52,4 +59,31 @@ l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec
 r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
 m AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1)
 SELECT vec_id, (SELECT count(*) FROM l WHERE l.a = m.vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM m""",
+    "op13_url_filter": """
+WITH r(rh, rp, action) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+u AS (SELECT page_id, row_number() OVER () AS row, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, row, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+f AS (SELECT p.row, rh || rp AS rule, action FROM p JOIN r ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+      QUALIFY row_number() OVER (PARTITION BY p.row ORDER BY length(rh || rp) DESC, length(rh) DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN f USING (row)""",
+    "op11_prefix_trie": f"""
+WITH t AS (
+  SELECT conv_id AS c, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} ORDER BY turn NULLS FIRST, role, text) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+h AS (SELECT c, w, c - c % 5 AS base, {crc32("CAST(c AS VARCHAR)")} % 9 AS h FROM t),
+r AS (SELECT h.c, list_concat(coalesce(t.w[1:h.h], []), h.w[h.h + 1:]) AS w FROM h LEFT JOIN t ON t.c = h.base),
+n AS (
+  SELECT w[1:d] AS k, d, min(c) AS conv_id, count(*) AS n_convs, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(w) = d) AS ends
+  FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM r) GROUP BY 1, 2),
+kids AS (SELECT k[1:d - 1] AS k, d - 1 AS d, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+m AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.d > 0 THEN (n_convs - 1) * strlen(n.k[n.d].text) ELSE 0 END AS cost
+  FROM n LEFT JOIN kids ON kids.k = n.k AND kids.d = n.d),
+sub AS (
+  SELECT k[1:e] AS k, e AS d, sum(cost) AS saved, count(*) FILTER (WHERE n_children = 0) AS leaves
+  FROM (SELECT *, unnest(range(0, d + 1)) AS e FROM m) GROUP BY 1, 2)
+SELECT m.conv_id, m.d AS depth, up.conv_id AS parent_conv_id, m.n_convs, m.n_children, sub.leaves AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(m.ends, '')) AS ends_sha256
+FROM m JOIN sub ON sub.k = m.k AND sub.d = m.d LEFT JOIN n up ON up.d = m.d - 1 AND up.k = m.k[1:m.d - 1]""",
 }
