@@ -66,3 +66,34 @@ def test_odd_vectors(spark, folder):
 def test_given_table(spark, data):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{data}/embeddings.parquet").collect()]
     assert sorted(tuple(r) for r in queries.op9_embedding_dedup(spark, data).collect()) == brute(rows)
+
+
+def test_pairs_at_exactly_the_bound(spark, folder):
+    """Whole numbers whose cosine is 0.95 to the last digit, or what doubles make of it: the plain formula on the given
+    vectors decides."""
+    # Two entries change places: the squared distance is twice the square of their difference, a tenth of a squared length.
+    bases = [(2, 1, 3, 2, 1, 1), (3, 2, 2, 1, 1, 1), (1, 0, 4, 1, 1, 1), (1, 0, 3, 3, 1, 0), (3, 1, 6, 5, 3, 0), (3, 1, 8, 2, 1, 1)]
+    assert all(sum(e * e for e in v) == 20 * (v[0] - v[1]) ** 2 for v in bases)
+    pairs = [([c * e for e in v], [d * e for e in (v[1], v[0], *v[2:])]) for v, (c, d) in zip(bases * 3, [(k % 7 + 1, k % 5 + 2) for k in range(16)])]
+    # Each pair lies in dimensions of its own, so it meets no other.
+    rows, want = [], {}
+    for k, pair in enumerate(pairs):
+        for side, v in enumerate(pair):
+            rows.append((2 * k + side, [0.0] * (6 * k) + [float(e) for e in v] + [0.0] * (6 * (len(pairs) - k - 1)), 1))
+        x, y = (np.array(v, "f8") for v in pair)
+        want[k] = int((x @ y) / np.sqrt((x @ x) * (y @ y)) >= 0.95)
+    assert sum(want.values()) > 0
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df).collect()}
+    assert {k: (got[2 * k], got[2 * k + 1]) for k in want} == {k: (n, n) for k, n in want.items()}
+
+
+def test_many_copies_are_one_vector(spark, folder):
+    rng = np.random.default_rng(6)
+    v = rng.normal(size=16)
+    near = [(v + rng.normal(size=16) * 0.03).tolist() for _ in range(5)]
+    far = rng.normal(size=(4, 16)).tolist()
+    check(spark, folder, list(enumerate([v.tolist()] * 400 + near + near[:2] + far + [(-0.0 * np.array(far[0])).tolist(), [-x for x in far[0]]])))
+    rows = spark.createDataFrame([(i, v.tolist()) for i in range(300)], "vec_id long, embedding array<float>")
+    made = vectors.prepared(rows.withColumnRenamed("vec_id", "_id"), "embedding")
+    assert made.select("vec").distinct().count() == 1

@@ -4,11 +4,13 @@ Unit vectors are rotated at random and cut into blocks of few dimensions. Two ve
 squared distance ``2 - 2 t``, so in at least one block they are within the share of that budget that is
 proportional to the block's dimensions. Each block is a range join: its first dimensions are laid on a grid,
 a vector goes to the cells its box of half the radius touches, and two vectors within the radius share a
-cell. A pair is taken up in the first block that has it, in one cell; its cosine is then checked exactly.
+cell. There one matrix product gives all squared distances of the block; of the few pairs within budget the
+cosine is taken exactly, in double precision, on the vectors as they were given. A link counts in the first
+block that has it, in one cell.
 
-A cell with more than ``CELL_ROWS`` vectors is dealt to several groups, one for each pair of its parts, so
-no group is larger, whatever the cell holds. Nothing is capped: in blocks where most vectors are near each
-other the work grows with the square of a cell.
+Equal vectors are one vector with a count. A cell with more than ``CELL_ROWS`` vectors is dealt to several groups,
+one for each pair of its parts, so no group is larger, whatever the cell holds. Nothing is capped: in blocks
+where most vectors are near each other the work grows with the square of a cell.
 
 Rows: a vector that is null, zero or has null or non-finite entries links with nothing and is its own
 component. Vectors of different lengths do not link. Repeated rows are vectors of their own; rows of one id
@@ -48,48 +50,75 @@ def rotation(width: int):
     return np.linalg.qr(np.random.default_rng(SEED).normal(size=(width, width)))[0]
 
 
+def units(x):
+    """Rows of length one, each the same whatever rows are beside it."""
+    import numpy as np
+
+    return x / np.sqrt((x * x).sum(axis=1))[:, None]
+
+
+def turned(unit, turn):
+    """Unit vectors rotated, summed in one order whatever rows are beside them: all groups must agree on which block
+    has a pair first."""
+    import numpy as np
+
+    out = np.empty_like(unit)
+    for start in range(0, len(unit), SLICE):
+        out[start:start + SLICE] = (unit[start:start + SLICE, :, None] * turn).sum(axis=1)
+    return out
+
+
+def cosines(x, y):
+    """Of pairs of rows, by dot product and lengths."""
+    import numpy as np
+
+    return (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+
+
 def low_cells(x, budget: float):
-    """For each row and grid dimension the first cell its box touches, and the last."""
+    """For each row and grid dimension the first cell its box touches, and the last. Boxes are a little larger than they
+    need be, so that no rounding parts two vectors."""
     import numpy as np
 
-    radius = budget**0.5
+    radius = budget**0.5 * (1 + 1e-6)
     return tuple(np.floor((x[:, :GRID] + side * radius / 2) / (2 * radius)).astype("i8") for side in (-1, 1))
 
 
-def rotated(df: DataFrame, vector: str) -> DataFrame:
-    """``(row, id, width, unit)``: a number for each row, and the rotated unit vector as doubles; null where
-    the vector can link with nothing."""
+def prepared(df: DataFrame, vector: str) -> DataFrame:
+    """``(row, id, width, vec)``: a number for each row, and the given vector's bytes as doubles, scaled by a power of
+    two so that no square is out of range; null where the vector can link with nothing."""
 
     def function(batches):
         import numpy as np
         import pyarrow as pa
 
-        turn: dict = {}
         for batch in batches:
             vectors = batch.column(batch.schema.get_field_index("vector"))
-            found = [None] * batch.num_rows
-            by_width: dict[int, list] = {}
+            found, widths = [None] * batch.num_rows, [None] * batch.num_rows
             for i in range(batch.num_rows):
                 if vectors[i].is_valid and vectors[i].values.null_count == 0:
                     x = vectors[i].values.to_numpy().astype("f8")
                     if len(x) and np.isfinite(x).all() and x.any():
-                        by_width.setdefault(len(x), []).append((i, x / np.abs(x).max()))
-            for width, items in by_width.items():
-                if width not in turn:
-                    turn[width] = rotation(width)
-                x = np.array([v for _, v in items])
-                x = (x / np.sqrt((x * x).sum(axis=1))[:, None]) @ turn[width]
-                for (i, _), row in zip(items, x):
-                    found[i] = row.tobytes()
-            widths = [None if f is None else len(f) // 8 for f in found]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(widths, pa.int32()), pa.array(found, pa.binary())], names=["row", "id", "width", "unit"])
+                        x = np.ldexp(x, -np.frexp(np.abs(x).max())[1]) + 0.0
+                        found[i], widths[i] = (x if (x != x.astype("f4")).any() else x.astype("f4")).tobytes(), len(x)
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(widths, pa.int32()), pa.array(found, pa.binary())], names=["row", "id", "width", "vec"])
 
     rows = df.select(F.monotonically_increasing_id().alias("row"), quoted("_id").alias("id"), quoted(vector).alias("vector"))
-    return rows.mapInArrow(function, f"row long, id {df.schema['_id'].dataType.simpleString()}, width int, unit binary")
+    return rows.mapInArrow(function, f"row long, id {df.schema['_id'].dataType.simpleString()}, width int, vec binary")
+
+
+def opened(vecs: list[bytes], width: int):
+    """Vectors of one width as doubles; those that single precision holds were written so."""
+    import numpy as np
+
+    if all(len(v) == 4 * width for v in vecs):
+        return np.frombuffer(b"".join(vecs), "f4").reshape(-1, width).astype("f8")
+    return np.array([np.frombuffer(v, "f4" if len(v) == 4 * width else "f8") for v in vecs], "f8")
 
 
 def in_cells(rows: DataFrame, cosine: float) -> DataFrame:
-    """``(width, block, cell, row, unit)`` for each block and each grid cell that a vector's box touches."""
+    """``(width, block, cell, row, n, low, vec)`` for each block and each grid cell that a vector's box touches; ``low`` is
+    the first of those cells."""
 
     def function(batches):
         from itertools import product
@@ -97,23 +126,27 @@ def in_cells(rows: DataFrame, cosine: float) -> DataFrame:
         import numpy as np
         import pyarrow as pa
 
+        turn: dict = {}
         for batch in batches:
             widths = batch.column(batch.schema.get_field_index("width")).to_numpy()
             for width in np.unique(widths).tolist():
                 at = np.flatnonzero(widths == width)
                 part = batch.take(pa.array(at))
-                x = np.frombuffer(b"".join(part.column(batch.schema.get_field_index("unit")).to_pylist())).reshape(len(at), width)
+                row, n, vec = (part.column(part.schema.get_field_index(c)) for c in ("row", "n", "vec"))
+                if width not in turn:
+                    turn[width] = rotation(width)
+                x = units(opened(vec.to_pylist(), width)) @ turn[width]
                 for k, (a, b, budget) in enumerate(layout(width, cosine)):
                     low, high = low_cells(x[:, a:b], budget)
+                    first = pack(low)
                     for step in product((0, 1), repeat=low.shape[1]):
                         inside = np.flatnonzero((low + step <= high).all(axis=1))
                         if len(inside):
-                            cell = pack(low[inside] + step)
-                            picked = part.take(pa.array(inside))
-                            n = len(inside)
-                            yield pa.record_batch([pa.array([width] * n, pa.int32()), pa.array([k] * n, pa.int32()), pa.array(cell), picked.column(0), picked.column(1)], names=["width", "block", "cell", "row", "unit"])
+                            some, m = pa.array(inside), len(inside)
+                            yield pa.record_batch([pa.array([width] * m, pa.int32()), pa.array([k] * m, pa.int32()), pa.array(pack(low[inside] + step)), row.take(some), n.take(some), pa.array(first[inside]), vec.take(some)],
+                                                  names=["width", "block", "cell", "row", "n", "low", "vec"])
 
-    return rows.where("unit IS NOT NULL").select("row", "unit", "width").mapInArrow(function, "width int, block int, cell long, row long, unit binary")
+    return rows.select("row", "width", "n", "vec").mapInArrow(function, "width int, block int, cell long, row long, n long, low long, vec binary")
 
 
 def pack(cells):
@@ -126,59 +159,80 @@ def pack(cells):
     return out
 
 
+def latest(a, b, grid: int):
+    """The greater of two packed cells in each dimension, packed."""
+    import numpy as np
+
+    out = np.zeros(len(a), "i8")
+    for k in range(grid):
+        part = np.int64((1 << 20) - 1 << 20 * k)
+        out |= np.maximum(a & part, b & part)
+    return out
+
+
 def links(rows: DataFrame, cosine: float) -> DataFrame:
-    """``(a, b, n)``: for a vector its number of links found in one group (``b`` null), and links that
-    connect all that is linked (``n`` null)."""
+    """``(a, b, n)``: for a vector the number of rows that it links with, found in one group (``b`` null), and links
+    that connect all that is linked (``n`` null). ``rows`` are different vectors, ``n`` of each."""
     sent = in_cells(rows, cosine)
     keys = ["width", "block", "cell"]
     # At most BLOCKS times the cells of a cube from -1 to 1: some thousand rows for each width.
     sizes = sent.groupBy(keys).agg(F.count("*").alias("held")).select(*keys, F.ceil(F.col("held") / CELL_ROWS).cast("int").alias("parts")).where("parts > 1")
     dealt = sent.join(F.broadcast(sizes), keys, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int"))
-    dealt = dealt.select(*keys, "row", "unit", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    dealt = dealt.select(*keys, F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "row", "unit")
+    dealt = dealt.select(*keys, "row", "n", "low", "vec", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+    dealt = dealt.select(*keys, F.least("part", "other").alias("first"), F.greatest("part", "other").alias("second"), "part", "row", "n", "low", "vec")
 
     def function(key, table):
         import numpy as np
         import pyarrow as pa
 
         width, block, cell, first, second = (k.as_py() for k in key)
-        ids, part = table.column("row").to_numpy(), table.column("part").to_numpy()
-        x = np.frombuffer(b"".join(table.column("unit").to_pylist())).reshape(len(ids), width)
-        plan = layout(width, cosine)
+        ids, part, n, low = (table.column(c).to_numpy() for c in ("row", "part", "n", "low"))
+        x = opened(table.column("vec").to_pylist(), width)
+        plan, turn = layout(width, cosine), rotation(width)
         a, b, budget = plan[block]
-        low = low_cells(x[:, a:b], budget)[0]
-        fast = x[:, a:b].astype("f4")
-        square = (fast * fast).sum(axis=1)
+        unit = units(x)
+        near = (unit @ turn[:, a:b]).astype("f4")
+        fast = unit.astype("f4")
+        square, one = (near * near).sum(axis=1)[:, None], np.ones((len(ids), 1), "f4")
+        ahead, behind = np.hstack([-2 * near, square, one]), np.hstack([near, one, square])
         left, right = np.flatnonzero(part == first), np.flatnonzero(part == second)
         forest, count, edges = Forest(len(ids)), np.zeros(len(ids), "i8"), []
+        rotated = np.zeros((len(ids), 0))
 
         def exact(p, q):
             """Which of the pairs are links that belong to this block and cell."""
-            d = x[p] - x[q]
+            nonlocal rotated
+            ok = (fast[p] * fast[q]).sum(axis=1) >= cosine - 1e-4
+            p, q = p[ok], q[ok]
+            ok = latest(low[p], low[q], min(GRID, b - a)) == cell
+            p, q = p[ok], q[ok]
+            ok = cosines(x[p], x[q]) >= cosine
+            p, q = p[ok], q[ok]
+            if len(p) and not rotated.shape[1]:
+                rotated = turned(unit, turn)
+            d = rotated[p] - rotated[q]
             d *= d
             ok = d[:, a:b].sum(axis=1) <= budget
             for s, e, limit in plan[:block]:
                 ok &= d[:, s:e].sum(axis=1) > limit
-            ok &= pack(np.maximum(low[p], low[q])) == cell
-            p, q = p[ok], q[ok]
-            ok = (x[p] * x[q]).sum(axis=1) >= cosine
             return p[ok], q[ok]
 
         for start in range(0, len(left), SLICE):
             some = left[start:start + SLICE]
-            near = square[some][:, None] + square[right][None, :] - 2 * (fast[some] @ fast[right].T) <= budget * 1.0001 + 1e-5
-            p, q = np.nonzero(near)
-            p, q = some[p], right[q]
+            others = right[start:] if first == second else right
+            p, q = np.nonzero(ahead[some] @ behind[others].T <= np.float32(budget * 1.0001 + 1e-5))
+            p, q = some[p], others[q]
             if first == second:
                 p, q = p[p < q], q[p < q]
             for k in range(0, len(p), 1 << 15):
                 u, v = exact(p[k:k + (1 << 15)], q[k:k + (1 << 15)])
-                count += np.bincount(u, minlength=len(ids)) + np.bincount(v, minlength=len(ids))
+                np.add.at(count, u, n[v])
+                np.add.at(count, v, n[u])
                 edges += forest.add(u, v)
         some = np.flatnonzero(count)
         pairs = ids[np.array(edges, "i8").reshape(-1, 2)]
-        none = lambda n: pa.nulls(n, pa.int64())
+        none = lambda k: pa.nulls(k, pa.int64())
         return pa.table({"a": pa.concat_arrays([pa.array(ids[some]), pa.array(pairs[:, 0])]),
                          "b": pa.concat_arrays([none(len(some)), pa.array(pairs[:, 1])]),
                          "n": pa.concat_arrays([pa.array(count[some]), none(len(pairs))])})
@@ -189,14 +243,21 @@ def links(rows: DataFrame, cosine: float) -> DataFrame:
 def near_duplicates(df: DataFrame, vec: str = "vec_id", vector: str = "embedding", cosine: float = COSINE) -> DataFrame:
     """One row per row of ``df``: the id, ``n_links``, ``component_id`` (the smallest id that links reach)
     and ``kept``, whether that is its own."""
-    rows = materialize(rotated(df.select(quoted(vec).alias("_id"), quoted(vector)), vector), "vectors")
-    found = materialize(links(rows, cosine), "links")
+    rows = prepared(df.select(quoted(vec).alias("_id"), quoted(vector)), vector)
+    rows = materialize(rows.withColumn("mark", F.when(F.col("vec").isNotNull(), F.sha2(F.concat("vec", F.encode(F.col("width").cast("string"), "utf-8")), 256))), "vectors")
+    own = rows.where("mark IS NOT NULL").groupBy("mark").agg(F.min("row").alias("row"), F.min("id").alias("id"), F.count("*").alias("n"), F.first("width").alias("width"), F.first("vec").alias("vec"))
+    own = materialize(own, "distinct")
+    found = materialize(links(own.select("row", "width", "n", "vec"), cosine), "links")
     counts = found.where("n IS NOT NULL").groupBy(F.col("a").alias("row")).agg(F.sum("n").alias("n_links"))
     groups = components(found.where("n IS NULL").select("a", "b"))
-    ids = rows.select("row", "id")
+    ids = own.select("row", "id")
     least = groups.join(ids, groups.node == ids.row).groupBy("component").agg(F.min("id").alias("least"))
     least = materialize(least, "least")
     groups = groups.join(least, "component").select(F.col("node").alias("row"), "least")
-    return ids.join(counts, "row", "left").join(groups, "row", "left").select(
+    # Copies of a vector link with each other too.
+    classes = own.select("mark", "row", "n", F.col("id").alias("first_id")).join(counts, "row", "left").join(groups, "row", "left").select(
+        "mark", (F.coalesce("n_links", F.lit(0)) + F.col("n") - 1).alias("n_links"), F.coalesce("least", "first_id").alias("least"))
+    classes = materialize(classes, "classes")
+    return rows.select("id", "mark").join(classes, "mark", "left").select(
         F.col("id").alias(vec), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
         F.coalesce("least", "id").alias("component_id"), F.coalesce(F.coalesce("least", "id") == F.col("id"), F.lit(False)).alias("kept"))
