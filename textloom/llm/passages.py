@@ -7,8 +7,9 @@ anchor. First the anchors that occur twice are found; then only windows around t
 each window's first occurrence is found. The rest of its occurrences, merged and so extended to any length,
 is removed.
 
-Windows are told apart by 96 bits made of two hashes: where 10**12 windows are compared, two different ones
-are taken for equal with a chance of about 10**-5.
+Windows are told apart by 96 bits of two hashes that have nothing in common, made of the two halves of each
+word's 128-bit hash: where 10**12 windows are compared, two different ones are taken for equal with a chance
+of about 10**-5.
 
 Rows: null and empty texts have no words. Rows of one id count as documents in some fixed order; a null
 id comes first. One row per row of the table, with no other columns kept. An empty table gives an empty one.
@@ -37,47 +38,34 @@ def mixed(x, salt: int):
     return x ^ x >> np.uint64(32)
 
 
-def powers(base: int, n: int):
-    """1, base, base**2, ... as 64-bit numbers."""
-    import numpy as np
-
-    out = np.full(n, base, "u8")
-    out[0] = 1
-    return np.cumprod(out, dtype="u8")
-
-
 class Words:
-    """The words of a block: their hashes, the document of each and their place in it."""
+    """The words of a block: the two halves of their hashes, the document of each and their place in it."""
 
     def __init__(self, rows: list[tuple[int | None, bytes]]):
         import numpy as np
 
-        base = 0x9E3779B97F4A7C15 | 1
-        inverse = pow(base, -1, 1 << 64)
-        text = np.frombuffer(b"\n".join([*[t for _, t in rows], b""]) or b"\n", "u1")
-        blank = (text == 32) | ((text >= 9) & (text <= 13))
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], blank]).view("i1")))
-        start, end = edge[0::2], edge[1::2]
-        if len(end) < len(start):
-            end = np.append(end, len(text))
-        total = np.zeros(len(text) + 1, "u8")
-        np.cumsum((text.astype("u8") + np.uint64(1)) * powers(base, len(text)), out=total[1:])
-        raw = (total[end] - total[start]) * powers(inverse, len(text) + 1)[start]
-        bounds = np.cumsum([0, *[len(t) + 1 for _, t in rows]])
-        self.doc = np.searchsorted(bounds, start, side="right") - 1
-        self.first = np.searchsorted(start, bounds[:-1])  # of each document; its words end where the next one's begin
-        self.count = np.diff(np.append(self.first, len(start)))
-        self.place = np.arange(len(start)) - self.first[self.doc] if len(start) else np.zeros(0, "i8")
-        self.hash = mixed(raw, 1)
-        self.size = len(start)
-
-    def windows(self, width: int, salt: int, at=None):
-        """Hashes of the ``width`` words from each of the places ``at``, by default from all that have so many."""
+        import xxhash
+
+        texts = [t.split() for _, t in rows]  # bytes: blanks are space and \t to \r
+        known: dict[bytes, int] = {}
+        for words in texts:
+            for w in words:
+                if w not in known:
+                    known[w] = len(known)
+        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, known)), "u8").reshape(-1, 2)
+        self.count = np.array([len(w) for w in texts], "i8")
+        self.size = int(self.count.sum())
+        named = np.fromiter((known[w] for words in texts for w in words), "i8", self.size)
+        self.hash, self.other = digests[named, 0], digests[named, 1]
+        self.first = np.cumsum(self.count) - self.count  # of each document; its words end where the next one's begin
+        self.doc = np.repeat(np.arange(len(rows)), self.count)
+        self.place = np.arange(self.size) - self.first[self.doc]
+
+    def windows(self, width: int, salt: int, at, other: bool = False):
+        """Hashes of the ``width`` words from each of the places ``at``, out of one half or the other of their own."""
         import numpy as np
 
-        if at is None:
-            at = self.starts(width)
-        words = mixed(self.hash, salt)
+        words = mixed(self.other if other else self.hash, salt)
         out = np.zeros(len(at), "u8")
         for k in range(width):
             out = out * np.uint64(0xD6E8FEB86659FD93) + words[at + k]
@@ -190,7 +178,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         np.add.at(near, at + 1, -1)
         windows = words.starts(WINDOW)
         windows = windows[np.cumsum(near)[windows] > 0]
-        high, low = words.windows(WINDOW, 3, windows), (words.windows(WINDOW, 4, windows) >> np.uint64(32)).astype("u4")
+        high, low = words.windows(WINDOW, 3, windows), (words.windows(WINDOW, 4, windows, other=True) >> np.uint64(32)).astype("u4")
         first = ~same_as_before(high, low)
         windows, high, low = windows[first], high[first], low[first]
         ids = np.array([-(1 << 63) if d is None else d for d, _ in rows], "i8")[words.doc[windows]]
@@ -207,7 +195,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
 
         words = Words(rows)
         windows = words.starts(WINDOW)
-        high, low = words.windows(WINDOW, 3, windows), (words.windows(WINDOW, 4, windows) >> np.uint64(32)).astype("u4")
+        high, low = words.windows(WINDOW, 3, windows), (words.windows(WINDOW, 4, windows, other=True) >> np.uint64(32)).astype("u4")
         known = merged(replies, 2)
         gone = same_as_before(high, low)
         some = np.flatnonzero(member(high, known[0]))
