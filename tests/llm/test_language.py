@@ -30,3 +30,29 @@ def test_nothing_learned(spark, table):
     mixture = language.model(language.learn(table([None, "abc"], langs=[None, None])))
     assert [tuple(r)[-3:-1] for r in language.identify(table(["abc"]), mixture).collect()] == [("und", 0.0)]
     assert language.identify(table([]), mixture).count() == 0
+
+
+def test_numbers_are_no_letters(spark, table):
+    mixture = language.model(language.learn(table(["the thing", "der die"], langs=["en", "de"])))
+    rows = language.identify(table(["² ½ Ⅷ ٣", "² a", "_", "ª"]), mixture).orderBy("doc_id").collect()
+    assert [r.lang_pred == "und" for r in rows] == [True, False, True, False]
+
+
+def test_mixture_against_plain_em():
+    """Shares of languages by expectation and maximisation in plain Python, one step after the other."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    m = language.Mixture({"a": rng.integers(0, 50, 1 << language.BITS), "b": rng.integers(0, 50, 1 << language.BITS), "c": rng.integers(0, 50, 1 << language.BITS)})
+    p, n = m.p[rng.integers(0, 1 << language.BITS, 60)].astype("f8"), rng.integers(1, 5, 60).astype("f8")
+    want = [1 / 3] * 3
+    for _ in range(2000):
+        share = [0.0] * 3
+        for row, times in zip(p.tolist(), n.tolist()):
+            total = sum(w * x for w, x in zip(want, row))
+            for k in range(3):
+                share[k] += times * want[k] * row[k] / total
+        want = [s / n.sum() for s in share]
+    got, likely = m.shares(p, n)
+    reach = sum(t * np.log(sum(w * x for w, x in zip(want, row))) for row, t in zip(p.tolist(), n.tolist()))
+    assert likely <= reach + 1e-9 and reach - likely < 0.05

@@ -94,11 +94,10 @@ class Mixture:
     def predict(self, text: str):
         """The main language, its share, and the shares of all languages of the chosen set."""
         import math
-        import re
 
         import numpy as np
 
-        if not self.names or not re.search(r"[^\W\d_]", text):
+        if not self.names or not any(map(str.isalpha, text)):
             return "und", 0.0, {}
         found, n = grams(text)
         if not len(found):  # letters of which no trigram can be made do not occur: a blank is put on either side
