@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from textloom.session import settled
+
 
 # -- metadata ----------------------------------------------------------------------
 
@@ -97,82 +100,120 @@ def schema_profile(df: DataFrame, columns: Sequence[str] | None = None, approxim
 # -- numbers -----------------------------------------------------------------------
 
 
-def quantiles(df: DataFrame, column: str, probabilities: Sequence[float], window_rows: int = 100_000) -> DataFrame:
-    """Exact interpolated quantiles as ``probability, value``, without one task seeing
-    all values.
+# The sketch behind approximate quantiles is off by at most one in SKETCH of the rows; the brackets are twice as wide.
+SKETCH = 10_000
+BINS = 256
+LAST_ROWS = 10_000
+
+
+def quantiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
+    """Exact interpolated quantiles as ``probability, value``."""
+    found, _ = _quantiles(df, column, probabilities)
+    return df.sparkSession.createDataFrame([(float(p), v) for p, v in zip(probabilities, found)], "probability double, value double")
+
+
+def _quantiles(df: DataFrame, column: str, probabilities: Sequence[float], *more: Column) -> tuple[list[float | None], Row]:
+    """Exact quantiles in two scans, and further aggregates of ``df`` taken in the first.
 
-    Each wanted rank is bracketed by approximate quantiles until at most ``window_rows``
-    rows (or one single value) are left between the brackets; only those are ranked, after
-    equal values have been combined. Every bracket is checked by an exact count.
+    The first scan makes a sketch, which merges from task to task, and brackets each wanted rank with it. The second
+    counts: a value between brackets is kept with its number, all others are added up by the gap they lie in.
+    That table holds some ten thousandths of the rows, and the ranks are found in it by counts of equal bins, finer
+    with each turn, until few rows are left. Counts say whether a bracket holds its rank; where one does not, the
+    brackets are taken wider and the second scan is done again.
     """
-    spark = df.sparkSession
-    values = df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-    total, least, most = values.agg(F.count("v"), F.min("v"), F.max("v")).first()
+    v = F.col(column).cast("double")
+    margin = 2 / SKETCH
+    shares = sorted({min(1.0, max(0.0, p + side * margin)) for p in probabilities for side in (-1, 1)})
+    row = df.agg(F.count(v).alias("_n"), F.min(v).alias("_low"), F.max(v).alias("_high"), F.percentile_approx(v, shares, SKETCH).alias("_cuts"), *more).first()
+    total = row["_n"]
     if not total:
-        return spark.createDataFrame([(p, None) for p in probabilities], "probability double, value double")
-    brackets = _brackets(values, [p * (total - 1) for p in probabilities], total, least, most, window_rows)
-    wanted = F.explode(F.array(*[
-        F.struct(F.lit(p).alias("p"), F.lit(float(p * (total - 1))).alias("rank"), F.lit(low).alias("low"),
-                 F.lit(high).alias("high"), F.lit(below).cast("long").alias("below"))
-        for p, (low, high, below) in zip(probabilities, brackets)]))
-    running = Window.partitionBy("p").orderBy("v")
-    ranked = (
-        values.select("v", wanted.alias("w")).select("v", "w.*").where(F.col("v").between(F.col("low"), F.col("high")))
-        .groupBy("p", "rank", "below", "v").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("last", F.col("below") + F.sum("n").over(running) - 1)
-        .withColumn("first", F.col("last") - F.col("n") + 1)
-    )
+        return [None] * len(probabilities), row
+    cuts = dict(zip(shares, row["_cuts"]))
+    ends = [(cuts[max(0.0, p - margin)], cuts[min(1.0, p + margin)]) for p in probabilities]
+    ranks = sorted({r for p in probabilities for r in _ranks(p, total)})
+    values = df.select(v.alias("v")).where(F.col("v").isNotNull())
+    at = _at_ranks(values, _joined(ends), ranks)
+    if at is None:
+        at = _at_ranks(values, [(row["_low"], row["_high"])], ranks)
+    out = []
+    for p in probabilities:
+        low, high = _ranks(p, total)
+        above = p * (total - 1) - low
+        out.append(at[low] if at[low] == at[high] else at[low] * (1 - above) + at[high] * above)
+    return out, row
+
+
+def _ranks(p: float, total: int) -> tuple[int, int]:
+    return math.floor(p * (total - 1)), math.ceil(p * (total - 1))
+
+
+def _joined(ends: Sequence[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Brackets in order, those that overlap made one."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(ends):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
 
-    def weight(rank: Column, share: Column) -> Column:
-        return F.when(rank.between(F.col("first"), F.col("last")), share).otherwise(0.0)
-
-    low = F.floor("rank")
-    above = F.col("rank") - low
-    return ranked.groupBy(F.col("p").alias("probability")).agg(
-        F.sum(F.col("v") * (weight(low, 1 - above) + weight(low + 1, above))).alias("value"))
-
-
-def _brackets(values: DataFrame, ranks: Sequence[float], total: int, least: float, most: float, window_rows: int):
-    """``low, high, rows below low`` around each rank; two jobs per round for all ranks."""
-    found = [(least, most, 0, total)] * len(ranks)
-    margins = [2e-4] * len(ranks)
-    while True:
-        wide = [i for i, (low, high, _, inside) in enumerate(found)
-                if inside > window_rows and low < high and margins[i] < 0.5]
-        if not wide:
-            return [bracket[:3] for bracket in found]
-        v = F.col("v")
-        ends = []
-        for low, high in sorted({found[i][:2] for i in wide}):
-            members = [i for i in wide if found[i][:2] == (low, high)]
-            shares = [max(0.0, min(1.0, (ranks[i] - found[i][2]) / found[i][3] + sign * margins[i]))
-                      for i in members for sign in (-1, 1)]
-            within = v if (low, high) == (least, most) else F.when(v.between(low, high), v)
-            ends.append((members, F.percentile_approx(within, shares, 10_000)))
-        cuts = values.agg(*[e.alias(f"e{n}") for n, (_, e) in enumerate(ends)]).first()
-        tried = {i: tuple(cuts[n][2 * m:2 * m + 2]) for n, (members, _) in enumerate(ends) for m, i in enumerate(members)}
-        counts = values.agg(*[
-            agg for i in wide for agg in (F.count_if(v < tried[i][0]), F.count_if(v.between(*tried[i])))]).first()
-        for m, i in enumerate(wide):
-            under, kept = counts[2 * m], counts[2 * m + 1]
-            last = min(int(ranks[i]) + 1, total - 1)
-            if under <= int(ranks[i]) and last < under + kept and kept < found[i][3]:
-                found[i] = (*tried[i], under, kept)
-            else:
-                margins[i] *= 4
+def _at_ranks(values: DataFrame, brackets: list[tuple[float, float]], ranks: list[int]) -> dict[int, float] | None:
+    """The value at each rank, or None where a rank lies outside the brackets. Slots in order: the gap below the first
+    bracket is 0, the bracket 1, the gap above it 2, and so on."""
+    v = F.col("v")
+    slot = F.lit(2 * len(brackets))
+    for k, (low, high) in reversed(list(enumerate(brackets))):
+        slot = F.when(v < low, 2 * k).when(v <= high, 2 * k + 1).otherwise(slot)
+    kept = F.when(slot % 2 == 1, v)
+    counted = settled(values.sparkSession, "counts", lambda: values.groupBy(slot.cast("int").alias("slot"), kept.alias("v")).agg(F.count(F.lit(1)).alias("n")))
+    below, spans, at = 0, {}, {}
+    sums = {r["slot"]: r["n"] for r in counted.groupBy("slot").agg(F.sum("n").alias("n")).collect()}
+    for k in range(2 * len(brackets) + 1):
+        inside = [r for r in ranks if below <= r < below + sums.get(k, 0)]
+        if inside and k % 2 == 0:
+            return None
+        if inside:
+            spans[k // 2] = (*brackets[k // 2], below, sums[k], inside)
+        below += sums.get(k, 0)
+    work = [(low, high, under, n, inside) for low, high, under, n, inside in spans.values()]
+    while work:  # each turn looks at the counts only, in bins of one BINS-th of what is left
+        few = [w[3] <= LAST_ROWS or not 0 < (w[1] - w[0]) / BINS < math.inf for w in work]
+        last, work = [w for w, f in zip(work, few) if f], [w for w, f in zip(work, few) if not f]
+        if last:
+            rows = counted.where(_any([v.between(w[0], w[1]) for w in last])).groupBy("v").agg(F.sum("n").alias("n")).orderBy("v").collect()
+            for low, high, under, _, inside in last:
+                for r in rows:
+                    if low <= r["v"] <= high:
+                        at |= {k: r["v"] for k in inside if under <= k < under + r["n"]}
+                        under += r["n"]
+        finer = []
+        for low, high, under, _, inside in work:
+            number = F.least(F.floor((v - F.lit(low)) / F.lit((high - low) / BINS)), F.lit(BINS - 1))
+            bins = counted.where(v.between(low, high)).groupBy(number.alias("bin")).agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).collect()
+            for r in sorted(bins, key=lambda r: r["bin"]):
+                held = [k for k in inside if under <= k < under + r["n"]]
+                if held:
+                    finer.append((r["low"], r["high"], under, r["n"], held))
+                under += r["n"]
+        work = finer
+    return at
+
+
+def _any(conditions: Sequence[Column]) -> Column:
+    found = F.lit(False)
+    for c in conditions:
+        found = found | c
+    return found
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """``count, mean, std, min, 25%, 50%, 75%, max`` as ``stat, value`` rows."""
-    names = {0.25: "25%", 0.5: "50%", 0.75: "75%"}
+    """``count, mean, std, min, 25%, 50%, 75%, max`` as ``stat, value`` rows, in two scans."""
     c = F.col(column).cast("double")
-    moments = df.agg(
-        F.count(c).cast("double").alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"), F.max(c).alias("max"),
-    ).unpivot([], ["count", "mean", "std", "min", "max"], "stat", "value")
-    label = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return moments.unionByName(
-        quantiles(df, column, list(names)).select(label[F.col("probability")].alias("stat"), "value"))
+    found, row = _quantiles(df, column, [0.25, 0.5, 0.75], F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"))
+    rows = [("count", float(row["_n"])), ("mean", row["mean"]), ("std", row["std"]), ("min", row["_low"]),
+            *zip(("25%", "50%", "75%"), found), ("max", row["_high"])]
+    return df.sparkSession.createDataFrame(rows, "stat string, value double")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
@@ -193,8 +234,7 @@ def histogram(df: DataFrame, column: str, bins: int = 100) -> DataFrame:
 def box_summary(df: DataFrame, column: str) -> DataFrame:
     """One row: quartiles, whiskers inside 1.5 times the quartile range, outlier count."""
     c = F.col(column).cast("double")
-    q = {r["probability"]: r["value"] for r in quantiles(df, column, [0.25, 0.5, 0.75]).collect()}
-    q1, q2, q3 = (q.get(p) for p in (0.25, 0.5, 0.75))
+    (q1, q2, q3), _ = _quantiles(df, column, [0.25, 0.5, 0.75])
     spread = None if q1 is None else 1.5 * (q3 - q1)
     inside = F.lit(None).cast("boolean") if spread is None else c.between(q1 - spread, q3 + spread)
     return df.agg(

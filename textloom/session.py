@@ -6,7 +6,7 @@ import contextlib
 import contextvars
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,6 +76,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` makes, written; all that was written on the way is removed."""
+    path = scratch_path(spark, name)
+    with scratch_tables(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a path this package has written."""
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
