@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from textloom.catalog.base import query, table
+from textloom.catalog.vectors import PCA_SQL
 from textloom.operators import explore as X
+from textloom.operators.reduce import reduce
 from textloom.sources.landed import zip_by_position, read_in_file_order
 
 
@@ -167,18 +169,31 @@ def text_length(spark, folder):
     return table(spark, folder, "documents").select("doc_id", F.length("text").alias("text_len"))
 
 
-@query("scatter_series", """
-WITH p AS (SELECT doc_id AS id, text, lang, source, embedding FROM documents JOIN embeddings ON doc_id = vec_id),
-a(algo, i) AS (VALUES ('PCA', 1), ('t-SNE', 3), ('UMAP', 5)), c(color_field) AS (VALUES ('Language'), ('Source'))
-SELECT algo, color_field, CASE color_field WHEN 'Language' THEN lang ELSE source END AS category, id,
-       CAST(embedding[i] AS DOUBLE) AS x, CAST(embedding[i + 1] AS DOUBLE) AS y, substr(text, 1, 80) AS hover
-FROM p, a, c""")
+SERIES_SQL = """
+SELECT algo, color_field, CASE color_field WHEN 'Language' THEN lang ELSE source END AS category, doc_id AS id,{place} substr(text, 1, 80) AS hover
+FROM documents JOIN {points} ON doc_id = vec_id, (VALUES {algorithms}) a(algo), (VALUES ('Language'), ('Source')) c(color_field)"""
+
+
+def series(spark, folder, algorithms):
+    """The points of a reduction of the embeddings, joined to the documents by id."""
+    docs = table(spark, folder, "documents")
+    points = reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", list(algorithms.values()))
+    points = docs.join(points, docs["doc_id"] == points["vec_id"])
+    return X.scatter_series(points, {"Language": "lang", "Source": "source"}, algorithms, id_column="doc_id")
+
+
+@query("scatter_series", f"WITH RECURSIVE {PCA_SQL}" + SERIES_SQL.format(points="pca", algorithms="('PCA')", place="""
+       round(CAST(CAST(x AS FLOAT) AS DOUBLE), 4) + 0.0 AS x, round(CAST(CAST(y AS FLOAT) AS DOUBLE), 4) + 0.0 AS y,"""))
 def scatter_series(spark, folder):
-    docs, vectors = table(spark, folder, "documents"), table(spark, folder, "embeddings")
-    axes = [f"{m}_2d_{axis}" for m in X.ALGORITHMS.values() for axis in ("x", "y")]
-    points = docs.join(vectors, docs["doc_id"] == vectors["vec_id"]).select(
-        "doc_id", "text", "lang", "source", *[F.col("embedding")[i].cast("double").alias(a) for i, a in enumerate(axes)])
-    return X.scatter_series(points, {"Language": "lang", "Source": "source"}, id_column="doc_id")
+    rows = series(spark, folder, {"PCA": "pca"})
+    return rows.withColumns({c: F.round(F.col(c).cast("double"), 4) + 0.0 for c in ("x", "y")})
+
+
+@query("scatter_layouts", SERIES_SQL.format(points="embeddings", algorithms="('PCA'), ('t-SNE'), ('UMAP')", place=" true AS placed,"))
+def scatter_layouts(spark, folder):
+    """All three series; where the points lie is for tests, SQL says that each has a place."""
+    return series(spark, folder, X.ALGORITHMS).select(
+        "algo", "color_field", "category", "id", (~F.isnan("x") & ~F.isnan("y")).alias("placed"), "hover")
 
 
 @query("positional_zip", """

@@ -98,9 +98,57 @@ def covariance_of_embeddings(spark, folder):
     return df.withColumn("cov", F.round("cov", 6) + 0.0)
 
 
-@query("pca_2d")
+DIMS = "range(1, 65)"
+
+# Two principal components: the covariance squared again and again until one axis is left, then the same
+# without that axis. Signs make the largest loading positive.
+PCA_SQL = f"""
+e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+dims AS (SELECT unnest({DIMS}) AS i),
+mean AS (SELECT list(m ORDER BY i) AS m FROM (SELECT i, avg(v[i]) AS m FROM e, dims GROUP BY i)),
+centred AS (SELECT vec_id, [v[i] - m[i] FOR i IN {DIMS}] AS v FROM e, mean),
+cov AS (
+  SELECT list(r ORDER BY i) AS c FROM (
+    SELECT i, list(s ORDER BY j) AS r FROM (SELECT a.i, b.i AS j, sum(v[a.i] * v[b.i]) AS s FROM centred, dims a, dims b GROUP BY 1, 2) GROUP BY i)),
+p1 AS (
+  SELECT 0 AS step, c FROM cov
+  UNION ALL
+  SELECT step + 1, [[list_dot_product(x, y) / t / t FOR y IN c] FOR x IN c] FROM (SELECT step, c, list_sum([c[i][i] FOR i IN {DIMS}]) AS t FROM p1) WHERE step < 20),
+d1 AS (SELECT c, [c[i][i] FOR i IN {DIMS}] AS d FROM p1 WHERE step = 20),
+a1 AS (SELECT [x / sqrt(list_dot_product(r, r)) FOR x IN r] AS a FROM (SELECT c[list_position(d, list_max(d))] AS r FROM d1)),
+l1 AS (SELECT a, c, list_dot_product(a, [list_dot_product(x, a) FOR x IN c]) AS l FROM cov, a1),
+p2 AS (
+  SELECT 0 AS step, [[c[i][j] - l * a[i] * a[j] FOR j IN {DIMS}] FOR i IN {DIMS}] AS c FROM l1
+  UNION ALL
+  SELECT step + 1, [[list_dot_product(x, y) / t / t FOR y IN c] FOR x IN c] FROM (SELECT step, c, list_sum([c[i][i] FOR i IN {DIMS}]) AS t FROM p2) WHERE step < 20),
+d2 AS (SELECT c, [c[i][i] FOR i IN {DIMS}] AS d FROM p2 WHERE step = 20),
+a2 AS (SELECT [x / sqrt(list_dot_product(r, r)) FOR x IN r] AS a FROM (SELECT c[list_position(d, list_max(d))] AS r FROM d2)),
+pca AS (SELECT vec_id, list_dot_product(v, a1.a) AS x, list_dot_product(v, a2.a) AS y FROM centred, a1, a2)
+"""
+
+
+@query("pca_2d", f"""WITH RECURSIVE {PCA_SQL}
+SELECT vec_id, round(CAST(CAST(x AS FLOAT) AS DOUBLE), 4) + 0.0 AS pca_2d_x, round(CAST(CAST(y AS FLOAT) AS DOUBLE), 4) + 0.0 AS pca_2d_y FROM pca""")
 def pca_2d(spark, folder):
-    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["pca", "no such method"])
+    points = reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["pca", "no such method"])
+    return points.select("vec_id", *[(F.round(F.col(c).cast("double"), 4) + 0.0).alias(c) for c in ("pca_2d_x", "pca_2d_y")])
+
+
+@query("tsne_2d")
+def tsne_2d(spark, folder):
+    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["tsne"])
+
+
+@query("umap_2d")
+def umap_2d(spark, folder):
+    return reduce(table(spark, folder, "embeddings"), ["vec_id"], "embedding", ["umap"])
+
+
+@query("layouts_with_gaps", f"SELECT vec_id, {BAD_SQL} AS tsne_empty, {BAD_SQL} AS umap_empty FROM embeddings")
+def layouts_with_gaps(spark, folder):
+    """Every row is placed by both layouts, or by none where its vector is damaged."""
+    points = reduce(damaged(spark, folder), ["vec_id"], "embedding", ["tsne", "umap"])
+    return points.select("vec_id", *[(F.isnan(f"{m}_2d_x") & F.isnan(f"{m}_2d_y")).alias(f"{m}_empty") for m in ("tsne", "umap")])
 
 
 @query("pca_with_gaps", f"SELECT vec_id, {BAD_SQL} AS empty FROM embeddings")
