@@ -199,9 +199,8 @@ def knn_graph(df: DataFrame, id_column: str, vector: str, k: int, cell_rows: int
     points = materialize(df.select(F.col(id_column).alias("id"), F.col(vector).cast("array<double>").alias("v")), "points")
     total, width = points.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     if not total:
-        kind = dict(points.dtypes)["id"]
-        return df.sparkSession.createDataFrame([], f"src {kind}, dst {kind}, rank int, dist double")
-    distinct = materialize(points.groupBy("v").agg(F.min("id").alias("rep")), "distinct")
+        return empty_graph(points)
+    distinct = materialize(distinct_vectors(points), "distinct")
     pivots = choose_pivots(distinct, cell_rows, width)
     assigned = materialize(assign_cells(distinct, pivots), "cells")
     cells = cell_statistics(assigned, pivots)
@@ -209,10 +208,7 @@ def knn_graph(df: DataFrame, id_column: str, vector: str, k: int, cell_rows: int
     if n_distinct == total:
         candidates, sizes = assigned.select(F.col("rep").alias("id"), "v", "cell"), cells.size
     else:
-        # No point needs more than k + 1 copies of one vector: the first by id.
-        by_vector = Window.partitionBy("v").orderBy("id")
-        copies = points.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1)
-        candidates = materialize(copies.join(assigned, "v").select("id", "v", "cell"), "candidates")
+        candidates = materialize(first_copies(points, k).join(assigned, "v").select("id", "v", "cell"), "candidates")
         counted = candidates.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).toPandas()
         sizes = np.zeros(len(pivots))
         sizes[counted["cell"].to_numpy(dtype=int)] = counted["n"]
@@ -225,15 +221,44 @@ def knn_graph(df: DataFrame, id_column: str, vector: str, k: int, cell_rows: int
         asked = materialize(probes(queries.join(reach, "rep"), cells, k + 1, True), "asked")
         far = search(asked, candidates, sizes, k + 1, width)
         near = near.unionByName(far)
+    return _of_each_point(points, assigned.select("rep", "v"), near, k, n_distinct == total)
+
+
+def empty_graph(points: DataFrame) -> DataFrame:
+    kind = dict(points.dtypes)["id"]
+    return points.sparkSession.createDataFrame([], f"src {kind}, dst {kind}, rank int, dist double")
+
+
+def distinct_vectors(points: DataFrame) -> DataFrame:
+    """``v, rep``: each vector once, with its smallest id."""
+    return points.groupBy("v").agg(F.min("id").alias("rep"))
+
+
+def first_copies(points: DataFrame, k: int) -> DataFrame:
+    """No point needs more than k + 1 copies of one vector: the first by id."""
+    by_vector = Window.partitionBy("v").orderBy("id")
+    return points.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1).drop("_n")
+
+
+def _of_each_point(points: DataFrame, distinct: DataFrame, near: DataFrame, k: int, unique: bool) -> DataFrame:
+    """The lists of distinct vectors (``near``: ``rep, id, d2``) as those of all points, less the point itself."""
     lists = top(near, k + 1).groupBy("rep").agg(
         F.array_sort(F.collect_list(F.struct("place", "id", "d2"))).alias("found"))
-    if n_distinct == total:
+    if unique:
         owners = lists.withColumnRenamed("rep", "src")
     else:
         # One row per distinct vector meets all its copies; a hot vector is split by the
         # skew-join rule of adaptive execution.
-        owners = points.join(assigned.select("rep", "v").join(lists, "rep").select("v", "found"), "v") \
+        owners = points.join(distinct.select("rep", "v").join(lists, "rep").select("v", "found"), "v") \
             .select(F.col("id").alias("src"), "found")
     others = F.slice(F.filter("found", lambda x: x["id"] != F.col("src")), 1, k)
     return owners.select("src", F.posexplode(others).alias("pos", "n")).select(
         "src", F.col("n.id").alias("dst"), (F.col("pos") + 1).alias("rank"), F.sqrt("n.d2").alias("dist"))
+
+
+def with_copies(points: DataFrame, distinct: DataFrame, lists: DataFrame, k: int) -> DataFrame:
+    """The graph of all points out of lists of distinct vectors, ``rep, other, d2``, each vector on its own list."""
+    if points.count() == distinct.count():
+        return _of_each_point(points, distinct, lists.withColumnRenamed("other", "id"), k, True)
+    copies = first_copies(points, k).join(distinct, "v").select(F.col("rep").alias("other"), "id")
+    return _of_each_point(points, distinct, lists.join(copies, "other").select("rep", "id", "d2"), k, False)
