@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from textloom.catalog.base import query, table
 from textloom.operators.affinity import conditional_affinities, fuzzy_graph, membership, perplexity_affinities
+from textloom.operators.descent import knn_descent
 from textloom.operators.embed import audit, embed, hash_embed, is_bad, model_embed, tokens
 from textloom.operators.neighbors import knn_graph
 from textloom.operators.reduce import covariance, pca, pre_reduce, reduce
@@ -210,6 +211,18 @@ def knn_with_copies(spark, folder):
     return knn_graph(coarse, "vec_id", "embedding", 15, cell_rows=50).withColumn("dist", F.round("dist", 6))
 
 
+@query("knn_descent", "SELECT count(*) AS points, count(*) * 15 AS entries, true AS recalled FROM embeddings WHERE vec_id % 20 = 0")
+def descent(spark, folder):
+    """Lists by descent beside the exact ones, of one point in twenty: at least 19 of 20 neighbours are found."""
+    vectors = table(spark, folder, "embeddings")
+    some = F.col("src") % 20 == 0
+    near = knn_descent(vectors, "vec_id", "embedding", 15).where(some).select("src", "dst", F.lit(1).alias("met"))
+    exact = graph(spark, folder).where(some).select("src", "dst")
+    both = exact.join(near, ["src", "dst"], "left")
+    counts = both.agg(F.countDistinct("src").alias("points"), (F.count("met") >= 0.95 * F.count("*")).alias("recalled"))
+    return counts.withColumn("entries", F.lit(near.count()).cast("long")).select("points", "entries", "recalled")
+
+
 PERPLEXITY_SQL = f"""
 {KNN_SQL},
 lists AS (SELECT src, list(dist * dist - m ORDER BY rank) AS d2, list(dst ORDER BY rank) AS dsts

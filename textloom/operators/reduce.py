@@ -100,7 +100,7 @@ def _graph(vectors: DataFrame, width: int, shared: dict, k: int) -> tuple[DataFr
             shared["points"] = materialize(pre_reduce(vectors, "_vec", width, "v").select(F.col(ROW).alias("row"), "v"), "points")
             shared["count"] = shared["points"].count()
         found = min(k, shared["count"] - 1)
-        shared["graph"] = settled(vectors.sparkSession, "graph", lambda: knn_graph(shared["points"], "row", "v", found))
+        shared["graph"] = settled(vectors.sparkSession, "graph", lambda: shared.get("search", knn_graph)(shared["points"], "row", "v", found))
         shared["graph_k"] = k
     found = min(k, shared["count"] - 1)
     return shared["points"], shared["graph"].where(F.col("rank") <= found), found, shared["count"]
@@ -177,8 +177,8 @@ def reduce(df: DataFrame, id_columns: Sequence[str], vector: str, methods: Seque
 
     Rows with a null or NaN in the vector take no part in a fit and come back as NaN; so
     does every row when no more than ``n_components`` are valid. Unknown methods are
-    skipped. ``options`` go to the reducers: ``perplexity``, ``neighbours``, and ``tsne`` and ``umap`` with
-    settings of the layouts.
+    skipped. ``options`` go to the reducers: ``perplexity``, ``neighbours``, ``search`` (how neighbours are found:
+    ``knn_graph``, or ``knn_descent`` for many wide rows), and ``tsne`` and ``umap`` with settings of the layouts.
     """
     if n_components not in AXES:
         raise NotImplementedError(f"n_components={n_components} is not supported")
