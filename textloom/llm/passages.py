@@ -42,21 +42,16 @@ class Words:
     """The words of a block: the two halves of their hashes, the document of each and their place in it."""
 
     def __init__(self, rows: list[tuple[int | None, bytes]]):
-        import numpy as np
+        from itertools import chain
 
+        import numpy as np
         import xxhash
 
-        texts = [t.split() for _, t in rows]  # bytes: blanks are space and \t to \r
-        known: dict[bytes, int] = {}
-        for words in texts:
-            for w in words:
-                if w not in known:
-                    known[w] = len(known)
-        digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, known)), "u8").reshape(-1, 2)
-        self.count = np.array([len(w) for w in texts], "i8")
+        self.texts = [t.split() for _, t in rows]  # bytes: blanks are space and \t to \r
+        self.count = np.array([len(w) for w in self.texts], "i8")
         self.size = int(self.count.sum())
-        named = np.fromiter((known[w] for words in texts for w in words), "i8", self.size)
-        self.hash, self.other = digests[named, 0], digests[named, 1]
+        halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, chain.from_iterable(self.texts))), "u8").reshape(-1, 2)
+        self.hash, self.other = halves[:, 0].copy(), halves[:, 1].copy()
         self.first = np.cumsum(self.count) - self.count  # of each document; its words end where the next one's begin
         self.doc = np.repeat(np.arange(len(rows)), self.count)
         self.place = np.arange(self.size) - self.first[self.doc]
@@ -208,9 +203,8 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         marks[gone] += 1
         np.add.at(marks, gone + WINDOW, -1)
         keep = np.cumsum(marks)[:-1] == 0
-        for (key, value), start, count in zip(rows, words.first.tolist(), words.count.tolist()):
-            own = keep[start:start + count]
-            left = list(compress(value.split(), own.tolist()))
+        for (key, _), text, start, count in zip(rows, words.texts, words.first.tolist(), words.count.tolist()):
+            left = list(compress(text, keep[start:start + count].tolist()))
             yield key, count, count - len(left), b" ".join(left).decode()
 
     return finish(blocks, owners, cut, f"{doc} long, n_words long, n_removed long, kept string")
