@@ -198,19 +198,19 @@ def links(rows: DataFrame, cosine: float) -> DataFrame:
         ahead, behind = np.hstack([-2 * near, square, one]), np.hstack([near, one, square])
         left, right = np.flatnonzero(part == first), np.flatnonzero(part == second)
         forest, count, edges = Forest(len(ids)), np.zeros(len(ids), "i8"), []
-        rotated = np.zeros((len(ids), 0))
+        rotated, done = np.empty((len(ids), width)), np.zeros(len(ids), bool)
 
         def exact(p, q):
             """Which of the pairs are links that belong to this block and cell."""
-            nonlocal rotated
             ok = (fast[p] * fast[q]).sum(axis=1) >= cosine - 1e-4
             p, q = p[ok], q[ok]
             ok = latest(low[p], low[q], min(GRID, b - a)) == cell
             p, q = p[ok], q[ok]
             ok = cosines(x[p], x[q]) >= cosine
             p, q = p[ok], q[ok]
-            if len(p) and not rotated.shape[1]:
-                rotated = turned(unit, turn)
+            fresh = np.unique(np.concatenate([p, q]))
+            fresh = fresh[~done[fresh]]
+            rotated[fresh], done[fresh] = turned(unit[fresh], turn), True
             d = rotated[p] - rotated[q]
             d *= d
             ok = d[:, a:b].sum(axis=1) <= budget
