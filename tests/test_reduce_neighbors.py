@@ -53,6 +53,27 @@ def test_knn_fewer_points_than_k(spark):
     assert edges_of(knn_graph(frame(spark, X), "id", "v", 9)) == brute(X, 9)
 
 
+def test_knn_of_many_pages_and_ties(spark):
+    """Whole numbers: many distances are equal and many vectors too; ids are strings."""
+    X = np.random.default_rng(6).integers(0, 3, size=(1500, 4)).astype(float)
+    df = frame(spark, X).withColumn("id", F.format_string("%05d", "id"))
+    for cell_rows in (20, 1000):
+        got = {(int(s), int(d), r) for s, d, r in edges_of(knn_graph(df, "id", "v", 7, cell_rows))}
+        assert got == brute(X, 7)
+
+
+def test_visits_are_of_pages_not_of_points(spark, monkeypatch):
+    """Where nothing can be ruled out, each page lists each cell once; no row for each point and cell is ever made."""
+    X = np.random.default_rng(7).normal(size=(1200, 24))
+    made = []
+    plans = {name: getattr(neighbors, name) for name in ("visits", "further_visits")}
+    for name, plan in plans.items():
+        monkeypatch.setattr(neighbors, name, lambda *a, plan=plan: made.append(plan(*a)) or made[-1])
+    assert edges_of(knn_graph(frame(spark, X), "id", "v", 5, 30)) == brute(X, 5)
+    pages = -(-1200 // neighbors.LEAST_PAGE)
+    assert len(made) == 2 and all(p.columns == ["page", "cell"] and p.count() <= pages * 40 for p in made)
+
+
 def test_pca_matches_svd(spark):
     X = np.random.default_rng(1).normal(size=(60, 6)) * [5, 3, 1, 1, 1, 1] + 7
     got = np.array([r["p"] for r in pca(frame(spark, X), "v", 2, "p").orderBy("id").collect()])

@@ -66,19 +66,25 @@ def curve_order(spot: np.ndarray) -> np.ndarray:
     return np.argsort(code, kind="stable")
 
 
+def stretches(counts: np.ndarray, spot: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last block of each cell: stretches along a curve through the cells' places, of about equal counts."""
+    order = curve_order(spot)
+    before = np.concatenate([[0], np.cumsum(counts[order])])
+    target = max(1, -(-int(before[-1]) // blocks))
+    first, last = np.empty(len(spot), "i8"), np.empty(len(spot), "i8")
+    first[order], last[order] = before[:-1] // target, np.maximum(before[1:] - 1, before[:-1]) // target
+    return np.minimum(first, blocks - 1), np.minimum(last, blocks - 1)
+
+
 def dealt(near: DataFrame, spot: np.ndarray, blocks: int) -> DataFrame:
     """``near`` and ``block``: stretches of landmarks along a curve, of about equal numbers of points; a crowded landmark
     is dealt to several blocks by hashed row. Nothing but a count for each landmark comes to the driver."""
     counts = np.zeros(len(spot), "i8")
     for cell, n in near.groupBy(F.col("near")[0].alias("cell")).count().collect():
         counts[cell] = n
-    order = curve_order(spot)
-    before = np.concatenate([[0], np.cumsum(counts[order])])
-    target = max(1, -(-int(before[-1]) // blocks))
-    first, last = np.empty(len(spot), "i8"), np.empty(len(spot), "i8")
-    first[order], last[order] = before[:-1] // target, np.maximum(before[1:] - 1, before[:-1]) // target
+    first, last = stretches(counts, spot, blocks)
     ranges = F.broadcast(near.sparkSession.createDataFrame(
-        pd.DataFrame({"cell": np.arange(len(spot), dtype=np.int32), "first": np.minimum(first, blocks - 1), "last": np.minimum(last, blocks - 1)})))
+        pd.DataFrame({"cell": np.arange(len(spot), dtype=np.int32), "first": first, "last": last})))
     return near.withColumn("cell", F.col("near")[0]).join(ranges, "cell").withColumn(
         "block", (F.col("first") + F.pmod(F.xxhash64("row", F.lit(3)), F.col("last") - F.col("first") + 1)).cast("int")).drop("cell", "first", "last")
 
