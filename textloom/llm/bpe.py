@@ -234,7 +234,7 @@ def encode(df: DataFrame, text: str, ranks: bytes, pattern: str, into: str = "to
         import pyarrow as pa
         import regex
 
-        store = worker_store("bpe")
+        store = worker_store("bpe").setdefault("encode", {})
         key = (hash(shared.value), pattern)
         if key not in store:
             store.clear()
@@ -285,7 +285,7 @@ def encode(df: DataFrame, text: str, ranks: bytes, pattern: str, into: str = "to
 
     if text.lower() == into.lower():
         raise ValueError("the tokens need a column of their own")
-    return appended(df, function, (into, T.ArrayType(T.IntegerType())))
+    return appended(df, function, (into, T.ArrayType(T.IntegerType())), store="bpe")
 
 
 def decode(df: DataFrame, tokens: str, ranks: bytes, into: str = "decoded") -> DataFrame:
@@ -295,7 +295,7 @@ def decode(df: DataFrame, tokens: str, ranks: bytes, into: str = "decoded") -> D
     def function(batches):
         import pyarrow as pa
 
-        store = worker_store("bpe_decode")
+        store = worker_store("bpe").setdefault("decode", {})
         key = hash(shared.value)
         if key not in store:
             store.clear()
@@ -313,4 +313,4 @@ def decode(df: DataFrame, tokens: str, ranks: bytes, into: str = "decoded") -> D
                     yield pa.record_batch([*part.columns, pa.array(made, pa.binary())], names=[*part.schema.names, into])
                     start, size, made = i + 1, 0, []
 
-    return appended(df, function, (into, T.BinaryType()))
+    return appended(df, function, (into, T.BinaryType()), store="bpe")

@@ -28,14 +28,15 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[quoted(c) for c in df.columns if c.lower() not in taken])
 
 
-def appended(df: DataFrame, function: Callable[[Iterator], Iterator], *fields: tuple[str, T.DataType]) -> DataFrame:
+def appended(df: DataFrame, function: Callable[[Iterator], Iterator], *fields: tuple[str, T.DataType], store: str | None = None) -> DataFrame:
     """``df`` and the columns ``function`` makes of its Arrow batches. Columns of those names
-    are replaced, as ``withColumn`` would."""
+    are replaced, as ``withColumn`` would. ``store`` names the worker store it uses, if any."""
     kept = without(df, *[n for n, _ in fields])
     schema = T.StructType([*[T.StructField(f.name, f.dataType, True) for f in kept.schema.fields],
                            *[T.StructField(n, t, True) for n, t in fields]])
 
     def whole(batches):
+        drop_stores(store)
         yield from function(batches)
         give_back()
 
@@ -82,11 +83,23 @@ def per_text(text: str, compute: Callable, weigh: Callable[[object], int], *kind
     return function
 
 
+def _stores() -> dict:
+    return sys.modules.setdefault("textloom_worker_store", types.ModuleType("textloom_worker_store")).__dict__.setdefault("stores", {})
+
+
 def worker_store(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker. Functions travel by value, so their
-    own module's globals are new in each task."""
-    module = sys.modules.setdefault("textloom_worker_store", types.ModuleType("textloom_worker_store"))
-    return module.__dict__.setdefault(name, {})
+    """A dictionary that lives as long as the Python worker, or until a task of another operator drops it. Functions
+    travel by value, so their own module's globals are new in each task."""
+    return _stores().setdefault(name, {})
+
+
+def drop_stores(kept: str | None = None) -> None:
+    """Forgets what tasks of other operators left in this worker, which would stay beside what this one needs."""
+    left = [name for name in _stores() if name != kept]
+    for name in left:
+        _stores().pop(name).clear()
+    if left:
+        give_back()
 
 
 def text_hex(column: Column) -> Column:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.common import appended, give_back, per_text, quoted
+from textloom.llm.common import appended, drop_stores, give_back, per_text, quoted
 from textloom.session import materialize, remove
 
 BITS = 17
@@ -65,6 +65,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc: str, text: str, label
     def function(batches):
         import pyarrow as pa
 
+        drop_stores()
         known: dict = {}
         for batch in batches:
             for i in range(batch.num_rows):
@@ -142,6 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
         import numpy as np
         import pyarrow as pa
 
+        drop_stores()
         total = np.zeros(1 << BITS)
         for batch in batches:
             for i in range(batch.num_rows):
@@ -156,6 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "te
             import numpy as np
             import pyarrow as pa
 
+            drop_stores()
             w = shared.value
             total = np.zeros_like(w)
             for batch in batches:
