@@ -2,6 +2,7 @@ import base64
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -66,3 +67,45 @@ def test_other_columns_and_no_blank_rule(spark, ranks, own):
     out = bpe.decode(bpe.encode(df, "text", raw, public_tokenizers.PATTERN), "token_ids", raw)
     rows = out.select("text", "token_ids", F.col("decoded").cast("string").alias("d")).collect()
     assert sorted((r.text or "", r.token_ids, r.d) for r in rows) == [("", [], ""), ("a b", own.encode_ordinary("a b"), "a b")]
+
+
+def encoder(monkeypatch, spark, raw, pattern, **options):
+    """The task of ``encode``, and how often it called the splitter."""
+    import regex
+
+    held, calls, compiled = [], [], regex.compile
+
+    class Counted:
+        def __init__(self, splitter):
+            self.splitter = splitter
+
+        def findall(self, text):
+            calls.append(text)
+            return self.splitter.findall(text)
+
+    monkeypatch.setattr(regex, "compile", lambda p: Counted(compiled(p)))
+    monkeypatch.setattr(bpe, "appended", lambda df, function, *fields, **more: held.append(function))
+    bpe.worker_store("bpe").clear()
+    bpe.encode(spark.createDataFrame([("a",)], "text string"), "text", raw, pattern, **options)
+    return held[0], calls
+
+
+def ids_of(function, texts):
+    return [x for batch in function(iter([pa.record_batch([pa.array(texts)], names=["text"])])) for x in batch.column(1).to_pylist()]
+
+
+def test_unseen_words_are_split_together(spark, monkeypatch, own):
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("abcdeé.'s1") for _ in range(6)) for _ in range(300)) for _ in range(10)] + ["", "one", " \n x", "a  b"]
+    function, calls = encoder(monkeypatch, spark, bpe.vocabulary(public_tokenizers.path(NAME)), public_tokenizers.PATTERN, blanks_part=True)
+    assert ids_of(function, texts) == [own.encode_ordinary(t) for t in texts]
+    assert len(calls) <= len(texts) + 1  # the first word of each text, and all others at once
+    assert ids_of(function, texts) == [own.encode_ordinary(t) for t in texts]
+    assert ids_of(function, ["one"]) == [own.encode_ordinary("one")]
+    bpe.worker_store("bpe").clear()
+
+
+def test_pattern_that_leaves_characters_out(spark, monkeypatch, ranks):
+    function, _ = encoder(monkeypatch, spark, bpe.vocabulary(public_tokenizers.path(NAME)), "[a-z]+", blanks_part=True)
+    assert ids_of(function, ["ab 12 cd!e", "7", " z"]) == [[i for w in words for i in bpe.merge_piece(w, ranks)] for words in ([b"ab", b"cd", b"e"], [], [b"z"])]
+    bpe.worker_store("bpe").clear()

@@ -10,16 +10,18 @@ the table has them, are replaced. An empty table gives an empty table.
 from __future__ import annotations
 
 import base64
+import re
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from textloom.llm.common import OUTPUT_BYTES, appended, worker_store
 
-CACHED_CHUNKS = 120_000
+CACHED_CHUNKS = 160_000
 CACHED_LENGTH = 32
 PORTION = 3_000_000
-"""About how many chunks a worker remembers, the longest it does, and the characters encoded
+"""About how many chunks that came again a worker remembers, the longest it does, and the characters encoded
 together: matters of speed and memory only."""
 
 
@@ -101,7 +103,8 @@ class RankQueue:
         """Arrays of the same length."""
         import numpy as np
 
-        order = np.argsort(ranks, kind="stable")
+        narrow = ranks.astype("u2") if ranks.max() < 1 << 16 else ranks  # numpy sorts short numbers digit by digit
+        order = np.argsort(narrow, kind="stable")
         ranks, positions = ranks[order], positions[order]
         cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
         starts = [0, *cuts.tolist()]
@@ -125,7 +128,10 @@ class RankQueue:
         if not bits:
             self.top &= self.top - 1
         parts = self.buckets.pop(rank)
-        return rank, parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+        if len(parts) == 1:
+            return rank, parts[0]
+        positions = np.sort(np.concatenate(parts))
+        return rank, positions[np.concatenate([[True], positions[1:] != positions[:-1]])]
 
 
 class Merger:
@@ -182,8 +188,11 @@ class Merger:
             after[at] = end
             token[inner] = pending[inner] = -1
             before[end] = at
-            around = before[at]
-            around = np.unique(np.concatenate([at, around[around < n]])) if len(at) > 1 else np.concatenate([around[around < n], at])
+            around = np.empty(2 * len(at), "i8")  # from left to right: what precedes a merge is at the merge before it at least
+            around[0::2], around[1::2] = before[at], at
+            once = around < n
+            once[2::2] &= around[2::2] != around[1:-1:2]
+            around = around[once]
             new = self.pair(token[around], token[after[around]])
             pending[around] = new
             if (some := new >= 0).any():
@@ -196,18 +205,9 @@ class Merger:
         return [ids[i:j] for i, j in zip(ends, ends[1:])]
 
 
-def chunks(text: str) -> list[str]:
-    """``text`` cut before each blank that a non-space character follows, and around each single
-    line feed between non-space characters."""
-    parts = text.split(" ")
-    out = parts[:1]
-    add = out.append
-    for part in parts[1:]:
-        if part and not part[0].isspace():
-            add(" " + part)
-        else:
-            out[-1] += " " + part
-    return out
+chunks = re.compile(r" (?=\S)").split
+"""A text cut at each blank that a non-space character follows. All parts but the first have lost such a blank; none
+of them begins with one."""
 
 
 def read_ranks(content: bytes) -> dict[bytes, int]:
@@ -244,30 +244,53 @@ def encode(df: DataFrame, text: str, ranks: bytes, pattern: str, into: str = "to
         merged, merger, splitter = store[key]
         find = splitter.findall
 
+        def split(found):
+            """The pre-tokens of all chunks, and where those of each chunk begin and end."""
+            if not (blanks_part and found):
+                return found, range(len(found) + 1)
+            joined = " " + " ".join(found)
+            pieces = find(joined)
+            ends = np.cumsum(np.fromiter(map(len, pieces), "i8", len(pieces)))
+            wanted = np.cumsum(np.fromiter(map(len, found), "i8", len(found)) + 1)
+            cuts = np.searchsorted(ends, wanted)
+            if len(ends) and ends[-1] == len(joined) and (ends[cuts] == wanted).all():
+                return pieces, [0, *(cuts + 1).tolist()]
+            parts = [find(" " + chunk) for chunk in found]  # a pattern that leaves characters out
+            return [piece for part in parts for piece in part], [0, *np.cumsum([len(part) for part in parts]).tolist()]
+
         def learn(found):
-            """The ids of each chunk in ``found`` that is not in ``merged`` yet."""
-            parts = {chunk: find(chunk) if blanks_part else [chunk] for chunk in found}
-            pieces = list({piece for part in parts.values() for piece in part})
-            coded = [piece.encode() for piece in pieces]
+            """The ids of each chunk in ``found``. A first part of a text is marked by a blank, others have lost one."""
+            heads = [chunk for chunk in found if chunk[:1] == " "] if blanks_part else []
+            later = [chunk for chunk in found if chunk[:1] != " "] if blanks_part else list(found)
+            pieces, cuts = split(later)
+            pieces, cuts = list(pieces), list(cuts)
+            for head in heads:
+                pieces += find(head[1:])
+                cuts.append(len(pieces))
+            names = list(set(pieces))
+            coded = [piece.encode() for piece in names]
             whole = [merger.ranks.get(x) for x in coded]
-            known = {piece: rank.to_bytes(4, "little") for piece, rank in zip(pieces, whole) if rank is not None}
+            known = {piece: rank.to_bytes(4, "little") for piece, rank in zip(names, whole) if rank is not None}
             rest = [i for i, rank in enumerate(whole) if rank is None]
-            known.update(zip([pieces[i] for i in rest], merger.merge([coded[i] for i in rest])))
-            of = known.__getitem__
-            return {chunk: of(part[0]) if len(part) == 1 else b"".join(map(of, part)) for chunk, part in parts.items()}
+            known.update(zip([names[i] for i in rest], merger.merge([coded[i] for i in rest])))
+            ids = list(map(known.__getitem__, pieces))
+            return {chunk: ids[i] if j == i + 1 else b"".join(ids[i:j]) for chunk, i, j in zip([*later, *heads], cuts, cuts[1:])}
 
         def encoded(texts):
             if len(merged) > CACHED_CHUNKS:
                 merged.clear()
             lists = [chunks(t) if blanks_part else find(t) for t in texts]
-            own = learn({c for part in lists for c in part if c not in merged})
-            long = {c: ids for c, ids in own.items() if len(c) > CACHED_LENGTH}
-            merged.update((c, ids) for c, ids in own.items() if len(c) <= CACHED_LENGTH)
-            if long:
-                of = {**long, **merged}.__getitem__
-            else:
-                of = merged.__getitem__
-            return [b"".join(map(of, part)) for part in lists]
+            if blanks_part:
+                for part in lists:
+                    part[0] = " " + part[0]
+            unseen = Counter([c for part in lists for c in part if c not in merged])
+            merged.update(learn(unseen))
+            of = merged.__getitem__
+            made = [b"".join(map(of, part)) for part in lists]
+            for chunk, times in unseen.items():  # what came once is not likely to come again
+                if times == 1 or len(chunk) > CACHED_LENGTH:
+                    del merged[chunk]
+            return made
 
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
