@@ -110,3 +110,53 @@ def test_affinities(spark):
     assert all(abs(r["w"] - np.log2(15)) < 1e-6 for r in w)
     fuzzy = {(r["src"], r["dst"]): r["w"] for r in fuzzy_graph(knn, 15).collect()}
     assert all(abs(fuzzy[j, i] - v) < 1e-12 and 0 <= v <= 1 + 1e-12 for (i, j), v in fuzzy.items())
+
+
+def bisected(reached, target, rising):
+    low, high, mid = 0.0, None, 1.0
+    for _ in range(64):
+        if (reached(mid) < target) if rising else (reached(mid) > target):
+            low = mid
+        else:
+            high = mid
+        mid = mid * 2 if high is None else (low + high) / 2
+    return mid
+
+
+def test_lists_of_any_length_are_solved_in_arrays(spark):
+    rng = np.random.default_rng(4)
+    lists = {f"p{i}": sorted(rng.uniform(0, 2, 1 + i % 9)) for i in range(60)} | {"same": [0.0, 0.0, 0.0]}
+    knn = spark.createDataFrame([(s, f"n{r}", r + 1, float(d)) for s, near in lists.items() for r, d in enumerate(near)], "src string, dst string, rank int, dist double")
+    p, w = conditional_affinities(knn, 2.0), membership(knn, 3)
+    for df in (p, w):  # not as a loop over the elements of a column
+        assert "MapInArrow" in df._jdf.queryExecution().toString() and "lambda x_" not in df._jdf.queryExecution().toString()
+    p, w = ({(r["src"], r["dst"]): r[2] for r in df.collect()} for df in (p, w))
+    assert len(p) == len(w) == sum(map(len, lists.values()))
+    for s, near in lists.items():
+        near = np.array(near)
+        d2 = near**2 - (near**2).min()
+
+        def entropy(beta):
+            e = np.exp(-d2 * beta)
+            return np.log(e.sum()) + beta * (d2 * e).sum() / e.sum()
+
+        e = np.exp(-d2 * bisected(entropy, np.log(2.0), False))
+        rho = min((x for x in near if x > 0), default=0.0)
+        gap = np.maximum(near - rho, 0)
+        sigma = max(bisected(lambda x: np.exp(-gap / x).sum(), np.log2(3), True), 1e-3 * near.mean(), 1e-300)
+        for r in range(len(near)):
+            assert abs(p[s, f"n{r}"] - (e / e.sum())[r]) < 1e-9
+            assert abs(w[s, f"n{r}"] - np.exp(-gap / sigma)[r]) < 1e-9
+
+
+def test_blocks_have_work_for_their_tasks(spark):
+    from textloom.operators import reduce
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "200")
+        assert reduce._blocks(spark, 500) == 1
+        assert reduce._blocks(spark, 10_256) <= 10  # 200 tasks of 51 points before
+        assert reduce._blocks(spark, 600_000) >= 30
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -3,39 +3,30 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.functions.text import let
-
 STEPS = 64
+POINTS = 1024
+"""Halvings, and how many points are solved together."""
 
 # Fixed value: smallest kernel width, as a share of the mean neighbour distance.
 MIN_SCALE = 1e-3
 
 
-def _bisect(target, value, start: float, rising: bool) -> Column:
-    """A positive number at which ``value`` meets ``target``, by doubling and halving."""
-    state = F.struct(F.lit(0.0).alias("low"), F.lit(None).cast("double").alias("high"), F.lit(start).alias("mid"))
-
-    def step(s: Column, _: Column) -> Column:
-        reached = value(s["mid"])
-
-        def move(more: Column) -> Column:
-            bounds = F.struct(F.when(more, s["mid"]).otherwise(s["low"]).alias("low"),
-                              F.when(more, s["high"]).otherwise(s["mid"]).alias("high"))
-            return let(bounds, lambda b: F.struct(
-                b["low"].alias("low"), b["high"].alias("high"),
-                F.when(b["high"].isNull(), s["mid"] * 2).otherwise((b["low"] + b["high"]) / 2).alias("mid")))
-
-        return let(reached < target if rising else reached > target, move)
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), state, step, lambda s: s["mid"])
-
-
-def _sum(values: Column, f) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, d: total + f(d))
+def _bisect(target: float, value, points: int, rising: bool) -> np.ndarray:
+    """For each point a positive number at which ``value`` meets ``target``, by doubling and halving from one."""
+    low, high, mid = np.zeros(points), np.full(points, np.nan), np.ones(points)
+    for _ in range(STEPS):
+        reached = value(mid)
+        more = reached < target if rising else reached > target
+        low, high = np.where(more, mid, low), np.where(more, high, mid)
+        mid = np.where(np.isnan(high), mid * 2, (low + high) / 2)
+    return mid
 
 
 def neighbour_lists(knn: DataFrame) -> DataFrame:
@@ -43,30 +34,51 @@ def neighbour_lists(knn: DataFrame) -> DataFrame:
     return knn.groupBy("src").agg(F.array_sort(F.collect_list(F.struct("rank", "dst", "dist"))).alias("near"))
 
 
-def _explode_weights(lists: DataFrame, weights: Column, name: str) -> DataFrame:
-    pairs = F.explode(F.arrays_zip(F.col("near.dst").alias("dst"), weights.alias("w")))
-    return lists.select("src", pairs.alias("e")).select("src", F.col("e.dst").alias("dst"), F.col("e.w").alias(name))
+def _weighted(lists: DataFrame, weights: Callable[[np.ndarray, np.ndarray], np.ndarray], name: str) -> DataFrame:
+    """``src, dst`` and ``name``, the weights of each list. ``weights`` has the distances of some points, a column for each,
+    nearest first, and which of them there are, lists being of different lengths. It adds up along columns, one after the
+    other, so that a point's weights are the same in whatever company it comes."""
+    narrow = lists.select("src", F.col("near.dst").alias("dst"), F.col("near.dist").alias("dist"))
+
+    def function(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, POINTS):
+                src, dst, dist = batch.slice(start, POINTS).columns
+                held = dist.value_lengths().to_numpy()
+                point = np.repeat(np.arange(len(held)), held)
+                place = np.arange(len(point)) - np.repeat(np.cumsum(held) - held, held)
+                shape = (int(held.max()), max(len(held), 2))  # a single column would be added up in another order
+                far, there = np.zeros(shape), np.zeros(shape, dtype=bool)
+                far[place, point], there[place, point] = dist.flatten().to_numpy(), True
+                made = weights(far, there)[place, point]
+                yield pa.record_batch([src.take(pa.array(point)), dst.flatten(), pa.array(made)], names=["src", "dst", name])
+
+    kinds = dict(lists.select("src", F.col("near.dst")[0].alias("dst")).dtypes)
+    return narrow.mapInArrow(function, f"src {kinds['src']}, dst {kinds['dst']}, {name} double")
 
 
 def conditional_affinities(knn: DataFrame, perplexity: float) -> DataFrame:
     """``src, dst, p`` with p(dst | src): a Gaussian per point, its precision set so that
     the perplexity of the neighbours is met."""
-    lists = neighbour_lists(knn)
-    squared = F.transform("near", lambda n: n["dist"] * n["dist"])
+    target = math.log(perplexity)
 
-    def weights(d2: Column) -> Column:
-        def entropy(beta: Column) -> Column:
-            return F.aggregate(
-                d2, F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("t")),
-                lambda acc, d: let(F.exp(-d * beta), lambda w: F.struct((acc["s"] + w).alias("s"), (acc["t"] + d * w).alias("t"))),
-                lambda acc: F.log(acc["s"]) + beta * acc["t"] / acc["s"])
+    def weights(far: np.ndarray, there: np.ndarray) -> np.ndarray:
+        d2 = far * far
+        d2 = np.where(there, d2 - np.where(there, d2, np.inf).min(axis=0), 0.0)
 
-        beta = _bisect(F.lit(math.log(perplexity)), entropy, 1.0, rising=False)
-        raw = let(beta, lambda b: F.transform(d2, lambda d: F.exp(-d * b)))
-        return let(raw, lambda ws: let(_sum(ws, lambda w: w), lambda total: F.transform(ws, lambda w: w / total)))
+        def kernel(beta: np.ndarray) -> np.ndarray:
+            return np.exp(-d2 * beta) * there
 
-    shifted = let(squared, lambda d2: let(F.array_min(d2), lambda least: F.transform(d2, lambda d: d - least)))
-    return _explode_weights(lists, let(shifted, weights), "p")
+        def entropy(beta: np.ndarray) -> np.ndarray:
+            w = kernel(beta)
+            total = w.sum(axis=0)
+            return np.log(total) + beta * (d2 * w).sum(axis=0) / total
+
+        with np.errstate(all="ignore"):  # of columns without a point
+            w = kernel(_bisect(target, entropy, far.shape[1], rising=False))
+            return w / w.sum(axis=0)
+
+    return _weighted(neighbour_lists(knn), weights, "p")
 
 
 def _both_ways(edges: DataFrame, weight: str) -> DataFrame:
@@ -84,20 +96,21 @@ def perplexity_affinities(knn: DataFrame, perplexity: float) -> DataFrame:
 def membership(knn: DataFrame, k: int) -> DataFrame:
     """``src, dst, w``: fuzzy membership; the nearest neighbour counts fully, the width of
     the rest makes the memberships of a point sum to log2(k)."""
-    lists = neighbour_lists(knn)
-    dist = F.transform("near", lambda n: n["dist"])
+    target = math.log2(k)
+
+    def weights(far: np.ndarray, there: np.ndarray) -> np.ndarray:
+        nearest = np.where(there & (far > 0), far, np.inf).min(axis=0)
+        gap = np.maximum(far - np.where(np.isinf(nearest), 0.0, nearest), 0.0)
 
-    def weights(gap: Column) -> Column:
-        def total(sigma: Column) -> Column:
-            return _sum(gap, lambda g: F.exp(-g / sigma))
+        def total(sigma: np.ndarray) -> np.ndarray:
+            return (np.exp(-gap / sigma) * there).sum(axis=0)
 
-        floor = F.lit(MIN_SCALE) * _sum(dist, lambda x: x) / F.size("near")
-        sigma = F.greatest(_bisect(F.lit(math.log2(k)), total, 1.0, rising=True), floor, F.lit(1e-300))
-        return let(sigma, lambda s: F.transform(gap, lambda g: F.exp(-g / s)))
+        with np.errstate(all="ignore"):  # of columns without a point
+            floor = MIN_SCALE * far.sum(axis=0) / there.sum(axis=0)
+            sigma = np.fmax(np.fmax(_bisect(target, total, far.shape[1], rising=True), floor), 1e-300)
+            return np.exp(-gap / sigma)
 
-    nearest = F.coalesce(F.array_min(F.filter(dist, lambda x: x > 0)), F.lit(0.0))
-    gap = let(nearest, lambda rho: F.transform(dist, lambda x: F.greatest(x - rho, F.lit(0.0))))
-    return _explode_weights(lists, let(gap, weights), "w")
+    return _weighted(neighbour_lists(knn), weights, "w")
 
 
 def fuzzy_graph(knn: DataFrame, k: int) -> DataFrame:

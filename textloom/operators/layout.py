@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from textloom.session import materialize, remove, scratch_path
 
 BLOCK_POINTS = 20_000
-LEAST_POINTS = 32
+LEAST_POINTS = 2000
 SUMMARY_TASKS = 16
 TRAFFIC = "block int, kind string, frm int, blob binary"
 WIRES = "block int, frm int, blob binary"

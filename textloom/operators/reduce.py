@@ -107,7 +107,8 @@ def _graph(vectors: DataFrame, width: int, shared: dict, k: int) -> tuple[DataFr
 
 
 def _blocks(spark, points: int) -> int:
-    """Enough for tasks of bounded size, and for all of a small cluster's cores."""
+    """Enough for tasks of bounded size, and for a small cluster's cores where there is work for them: a block of few
+    points costs a task in every round and little else."""
     return max(1, -(-points // BLOCK_POINTS), min(int(spark.conf.get("spark.sql.shuffle.partitions")), points // LEAST_POINTS))
 
 
