@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -199,3 +201,43 @@ def test_blocks_are_even_though_a_third_share_a_landmark(spark):
     near = spark.createDataFrame(rows, "row long, near array<int>, share array<double>")
     sizes = [r["count"] for r in S.dealt(near, np.random.default_rng(0).normal(size=(64, 2)), 12).groupBy("block").count().collect()]
     assert len(sizes) == 12 and sum(sizes) == 1200 and max(sizes) < 200
+
+
+def peak(work):
+    """Bytes of the arrays that ``work`` makes, at most at a time."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def crowded(width, columns, n=500, edges=1_500_000, ghosts=2000):
+    rng = np.random.default_rng(9)
+    return L.Block(np.arange(n), rng.normal(size=(n, 2)), np.tile([0.0, 0.0, 1.0, 1.0], (n, 1))[:, :columns], np.sort(rng.integers(0, n, edges)).astype("i4"),
+                   rng.integers(0, n + ghosts, edges).astype("i4"), rng.random(edges), rng.normal(size=(ghosts, 2)), np.zeros((n, width)))
+
+
+def test_springs_take_room_for_some_edges_only():
+    b = crowded(3, 4)
+    places = np.concatenate([b.spot, b.ghosts])
+    own, far = np.zeros((len(b.rows), 3)), np.zeros((len(places), 3))
+    for end, other, to in ((b.src, b.dst, own), (b.dst, b.src, far)):
+        to += np.stack([np.bincount(end, b.weight * c, len(to)) for c in (1, *places[other].T)], axis=1)
+    got = b.pulled(b.weight, places)
+    assert np.allclose(got[0], own + far[:500]) and np.allclose(got[1], far[500:])
+    near, none = b.pulled(b.weight, places, far=False)
+    assert np.allclose(near, got[0]) and not len(none)
+    assert peak(lambda: L.Tsne(500, field=np.zeros((64 * 64, 2), "f4")).move(b, 0)) < 50e6
+
+
+def test_wires_name_ghosts_by_owner(spark):
+    """Ghosts come in order of their owners, each once, and each owner is told the same places."""
+    points = spark.createDataFrame([(r, r % 3, 0.0, 0.0) for r in range(12)], "row long, block int, x double, y double")
+    edges = spark.createDataFrame([(0, d, 1.0) for d in (11, 4, 2, 3, 8, 1)] + [(3, 11, 1.0)], "src long, dst long, w double")
+    wires = {(r["block"], r["frm"]): L.unpack(bytes(r["blob"])) for r in L.wire(points, edges)[1].collect()}
+    src, dst, _, owners, cuts = wires[0, 0]
+    assert src.tolist() == [0, 0, 0, 0, 0, 0, 1] and dst.tolist() == [1, -1, -2, -3, -4, -5, -5] and dst.dtype == np.int32
+    assert owners.tolist() == [1, 2] and cuts.tolist() == [0, 2, 5]
+    assert wires[1, 0][0].tolist() == [0, 1] and wires[2, 0][0].tolist() == [0, 2, 3]

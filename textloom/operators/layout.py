@@ -18,7 +18,7 @@ Each round is written to the shared folder and the one before is removed: lost e
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -32,6 +32,8 @@ from textloom.session import materialize, remove, scratch_path
 BLOCK_POINTS = 20_000
 LEAST_POINTS = 2000
 SUMMARY_TASKS = 16
+EDGES = 1 << 17
+"""Of a block, so many edges are worked on together: what is made on the way does not grow with the block."""
 TRAFFIC = "block int, kind string, frm int, blob binary"
 WIRES = "block int, frm int, blob binary"
 
@@ -75,15 +77,20 @@ class Block:
     ghosts: np.ndarray
     springs: np.ndarray
 
-    def pulled(self, pull: np.ndarray, places: np.ndarray, extra: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Springs on the block's points and on its ghosts, as ``(strength, strength times place)``, each with the
-        columns of ``extra`` added up too: of each edge on both of its ends."""
+    def pulled(self, pull: np.ndarray | Callable, places: np.ndarray, width: int = 3, far: bool = True) -> tuple[np.ndarray, np.ndarray]:
+        """Springs on the block's points and, if ``far``, on its ghosts, as ``(strength, strength times place)``, of each edge
+        on both of its ends. ``pull`` has the strengths, or gives those of some edges by their squared lengths, with
+        more columns to be added up if a spring is wider."""
         n = len(self.rows)
-        more = np.zeros((len(pull), 0)) if extra is None else extra
-        to_src = np.column_stack([pull, pull[:, None] * places[self.dst], more])
-        to_dst = np.column_stack([pull, pull[:, None] * places[self.src], more])
-        both = totals(self.dst, to_dst, n + len(self.ghosts))
-        return both[:n] + totals(self.src, to_src, n), both[n:]
+        own, both = np.zeros((n, width)), np.zeros((len(places) if far else n + 1, width))
+        for start in range(0, len(self.src), EDGES):
+            part = slice(start, start + EDGES)
+            src, dst = self.src[part], self.dst[part]
+            at_src, at_dst = places[src], places[dst]
+            strength, *more = pull(part, ((at_src - at_dst) ** 2).sum(axis=1)) if callable(pull) else (pull[part],)
+            both += totals(dst if far else np.minimum(dst, n), np.column_stack([strength, strength[:, None] * at_src, *more]), len(both))
+            own += totals(src, np.column_stack([strength, strength[:, None] * at_dst, *more]), n)
+        return both[:n] + own, both[n:len(places)] if far else both[:0]
 
 
 @dataclass(frozen=True)
@@ -166,15 +173,12 @@ class Tsne:
         more = self.exaggeration if at < self.early else 1.0
         rate = max(self.points / 48, self.LEAST_RATE)
         was, speed, gain = b.spot, b.state[:, :2], b.state[:, 2:]
-        share = b.weight / (2 * self.points)
 
-        def springs():
-            places = np.concatenate([b.spot, b.ghosts])
-            apart = places[b.src] - places[b.dst]
-            return b.pulled(share / (1 + (apart * apart).sum(axis=1)), places)
+        def springs(far: bool):
+            return b.pulled(lambda part, square: (b.weight[part] / (2 * self.points) / (1 + square),), np.concatenate([b.spot, b.ghosts]), far=far)
 
         for _ in range(self.steps):
-            own = springs()[0] + b.springs
+            own = springs(False)[0] + b.springs
             node, part = self.grid.shares(b.spot)
             moved = b.spot - was  # the field holds the point itself, where it was
             push = (self.field[node] * part[:, :, None]).sum(axis=1) - moved / ((1 + (moved * moved).sum(axis=1)) ** 2)[:, None]
@@ -186,7 +190,7 @@ class Tsne:
             limit = min(g.half - 3 * g.step for g in (self.grid, self.later))
             b.spot = np.clip(b.spot + speed, -limit, limit)
         b.state = np.column_stack([speed, gain])
-        return springs()[1]
+        return springs(True)[1]
 
     def summary(self, b: Block, at: int) -> bytes:
         """The block's charges at the nodes of the later grid, and how far out its points are."""
@@ -239,26 +243,31 @@ class Umap:
         with np.errstate(divide="ignore"):
             return np.where(square > 0, 2 * self.A * self.B * square ** (self.B - 1) / (1 + self.A * square**self.B), 0.0)
 
+    def _push(self, rows: np.ndarray, spot: np.ndarray, epoch: int) -> np.ndarray:
+        """The mean push of the negatives that an epoch's hash draws for some points."""
+        drawn = self.sample[hashed(rows[:, None], epoch, np.arange(self.DRAWN)) % np.uint64(len(self.sample))]
+        apart = spot[:, None, :] - drawn
+        square = (apart * apart).sum(axis=2)
+        return np.clip((2 * self.B / ((0.001 + square) * (1 + self.A * square**self.B)))[:, :, None] * apart, -self.CLIP, self.CLIP).mean(axis=1)
+
     def move(self, b: Block, at: int) -> np.ndarray:
         often = np.minimum(b.weight / self.heaviest, 1.0)
 
-        def springs(active):
-            places = np.concatenate([b.spot, b.ghosts])
-            apart = places[b.src] - places[b.dst]
-            return b.pulled(2 * active * self._pull((apart * apart).sum(axis=1)), places, active[:, None])
+        def springs(active: Callable[[slice], np.ndarray], far: bool):
+            def pull(part, square):
+                return 2 * active(part) * self._pull(square), active(part)
+
+            return b.pulled(pull, np.concatenate([b.spot, b.ghosts]), self.WIDTH, far)
 
         for epoch in range(at * self.steps, (at + 1) * self.steps):
             pace = self.rate * (1 - epoch / (self.rounds * self.steps))
-            own = springs((np.floor((epoch + 1) * often) > np.floor(epoch * often)).astype("f8"))[0] + b.springs
-            drawn = self.sample[hashed(b.rows[:, None], epoch, np.arange(self.DRAWN)) % np.uint64(len(self.sample))]
-            apart = b.spot[:, None, :] - drawn
-            square = (apart * apart).sum(axis=2)
-            push = np.clip((2 * self.B / ((0.001 + square) * (1 + self.A * square**self.B)))[:, :, None] * apart, -self.CLIP, self.CLIP).mean(axis=1)
+            own = springs(lambda part: (np.floor((epoch + 1) * often[part]) > np.floor(epoch * often[part])).astype("f8"), False)[0] + b.springs
+            push = self._push(b.rows, b.spot, epoch)
             strength = own[:, :1]
             # The exact way of a point on its springs under a steady push: it cannot overshoot.
             way = np.where(strength > 1e-9, -np.expm1(-pace * strength) / np.maximum(strength, 1e-9), pace)
             b.spot = b.spot + way * (own[:, 1:3] - strength * b.spot + self.NEGATIVES * own[:, 3:] * push)
-        return springs(often)[1]
+        return springs(lambda part: often[part], True)[1]
 
     def summary(self, b: Block, at: int) -> bytes:
         chosen = hashed(b.rows, -1 - at).astype("f8") / 2.0**64 < self.SAMPLE / self.points
@@ -289,22 +298,30 @@ def wire(points: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         sort = np.lexsort((to, other, src))  # rows arrive in any order, sums should not
         src, other, to, w = src[sort], other[sort], to[sort], w[sort]
         outer = other != block
-        ghosts, place = np.unique(np.stack([other[outer], to[outer]], axis=1), axis=0, return_inverse=True)
-        dst = to.astype("i8")
-        dst[outer] = -1 - place.ravel()  # the number of own points is not known here
-        owners = np.unique(ghosts[:, 0])
-        rows = [(block, block, pack(src.astype("i4"), dst, w, owners, np.searchsorted(ghosts[:, 0], np.append(owners, np.iinfo("i4").max))))]
-        rows += [(int(o), block, pack(ghosts[ghosts[:, 0] == o, 1])) for o in owners]
+        ghosts, place = np.unique(other[outer].astype("i8") << 32 | to[outer], return_inverse=True)
+        dst = to.astype("i4")
+        dst[outer] = -1 - place  # the number of own points is not known here
+        owner, ghosts = (ghosts >> 32).astype("i4"), (ghosts & 0xFFFFFFFF).astype("i4")
+        owners = np.unique(owner)
+        cuts = np.append(np.searchsorted(owner, owners), len(owner))
+        rows = [(block, block, pack(src.astype("i4"), dst, w, owners, cuts))]
+        rows += [(int(o), block, pack(ghosts[cuts[k]:cuts[k + 1]])) for k, o in enumerate(owners)]
         return pa.table({"block": pa.array([r[0] for r in rows], pa.int32()), "frm": pa.array([r[1] for r in rows], pa.int32()), "blob": pa.array([r[2] for r in rows], pa.binary())})
 
     return places, materialize(ends.groupBy("block").applyInArrow(wired, WIRES), "wires")
 
 
+def _letters(table: pa.Table) -> list[dict]:
+    """The rows of a table, their blobs not copied."""
+    rows = table.drop_columns("blob").to_pylist()
+    return [row | {"blob": blob.as_buffer()} for row, blob in zip(rows, table.column("blob"))]
+
+
 def _block(wires: list[dict], state: bytes, mail: list[dict], width: int) -> tuple[Block, list[tuple[int, np.ndarray]], tuple[np.ndarray, np.ndarray]]:
     """A block as its mail leaves it; whom it has to tell of which points; and whose its ghosts are."""
     rows, spot, more = unpack(state)
     n = len(rows)
-    src, dst, weight, owners, cuts = np.zeros(0, "i4"), np.zeros(0, "i8"), np.zeros(0), np.zeros(0, "i4"), np.zeros(1, "i8")
+    src, dst, weight, owners, cuts = np.zeros(0, "i4"), np.zeros(0, "i4"), np.zeros(0), np.zeros(0, "i4"), np.zeros(1, "i8")
     tell = []
     for wire_ in wires:
         if wire_["frm"] == wire_["block"]:
@@ -327,11 +344,11 @@ def _round(method, at: int):  # method: broadcast, as workers have no copy of th
     """One round of a block: its wires, its state and its mail give the next state, mail and summary."""
 
     def function(left, right):
-        rows = right.to_pylist()
-        block = (rows or left.to_pylist())[0]["block"]
+        rows = _letters(right)
+        block = rows[0]["block"]
         state = next(r["blob"] for r in rows if r["kind"] == "state")
         told = cloudpickle.loads(method.value)
-        b, tell, (owners, cuts) = _block(left.to_pylist(), state, [r for r in rows if r["kind"] in ("places", "springs")], told.WIDTH)
+        b, tell, (owners, cuts) = _block(_letters(left), state, [r for r in rows if r["kind"] in ("places", "springs")], told.WIDTH)
         out = []
         if at >= 0:  # before the first round, places only are told
             on_ghosts = told.move(b, at)
