@@ -241,3 +241,12 @@ def test_wires_name_ghosts_by_owner(spark):
     assert src.tolist() == [0, 0, 0, 0, 0, 0, 1] and dst.tolist() == [1, -1, -2, -3, -4, -5, -5] and dst.dtype == np.int32
     assert owners.tolist() == [1, 2] and cuts.tolist() == [0, 2, 5]
     assert wires[1, 0][0].tolist() == [0, 1] and wires[2, 0][0].tolist() == [0, 2, 3]
+
+
+def test_negatives_take_room_for_some_points_only():
+    b = crowded(4, 0, n=20_000, edges=1000)
+    few = crowded(4, 0, n=20_000, edges=1000)
+    few = L.Block(few.rows[:3000], few.spot[:3000], few.state[:3000], few.src[:0], few.dst[:0], few.weight[:0], few.ghosts[:0], few.springs[:3000])
+    umap = L.Umap(20_000, steps=2, sample=np.random.default_rng(1).normal(size=(4000, 2)))
+    assert np.array_equal(umap._push(b.rows, b.spot, 3)[:3000], umap._push(few.rows, few.spot, 3))
+    assert peak(lambda: umap.move(b, 0)) < 40e6

@@ -230,6 +230,7 @@ class Umap:
     # The curve for a least distance of 0.1 at spread 1, negatives for each pull, the largest push.
     A, B, NEGATIVES, CLIP = 1.577, 0.895, 5, 4.0
     DRAWN, SAMPLE = 40, 4000
+    TOGETHER = 2048  # points that draw their negatives together
     WIDTH = 4  # of a spring: with the number of pulls
 
     @property
@@ -262,7 +263,10 @@ class Umap:
         for epoch in range(at * self.steps, (at + 1) * self.steps):
             pace = self.rate * (1 - epoch / (self.rounds * self.steps))
             own = springs(lambda part: (np.floor((epoch + 1) * often[part]) > np.floor(epoch * often[part])).astype("f8"), False)[0] + b.springs
-            push = self._push(b.rows, b.spot, epoch)
+            push = np.zeros_like(b.spot)
+            for start in range(0, len(b.rows), self.TOGETHER):
+                part = slice(start, start + self.TOGETHER)
+                push[part] = self._push(b.rows[part], b.spot[part], epoch)
             strength = own[:, :1]
             # The exact way of a point on its springs under a steady push: it cannot overshoot.
             way = np.where(strength > 1e-9, -np.expm1(-pace * strength) / np.maximum(strength, 1e-9), pace)
