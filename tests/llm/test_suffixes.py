@@ -86,3 +86,45 @@ def test_loser_tree():
         assert out == sorted(x for items, _ in runs for x in items)
         for a, b, s in zip(out, out[1:], shares[1:]):
             assert a[:s] == b[:s] and (s == suffixes.WIDE or a[s] != b[s])
+
+
+def test_ranges_are_even():
+    """Anchors have the least hashes of many, yet no range of them holds much more than another."""
+    rng = np.random.default_rng(3)
+    keys = np.unique(suffixes.Bytes([(1, rng.integers(97, 123, 1_000_000, "u1").tobytes())]).key)
+    part, order = suffixes.dealt(keys, 50)
+    assert np.bincount(part, minlength=50).max() < 1.5 * len(keys) / 50
+    assert all((keys[order][part[order] == k][1:] > keys[order][part[order] == k][:-1]).all() for k in range(50))
+
+
+def test_a_range_is_merged_in_portions(monkeypatch):
+    """One merge holds a bounded number of suffixes, whatever the range holds, and finds what a merge of all finds."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(97, 100, (4000, suffixes.WIDE), "u1")
+    base[:, -2:] = suffixes.LENGTH - 5, 20
+    rows = []
+    for block in range(6):
+        some = np.unique(np.ascontiguousarray(base[rng.integers(0, 4000, 3000)]).view(f"S{suffixes.WIDE}")).view("u1").reshape(-1, suffixes.WIDE)
+        rows.append((block, blocks.press(*suffixes.front_code(some), rng.integers(0, 99, len(some)))))
+    sizes, marked = [], suffixes.marked
+    monkeypatch.setattr(suffixes, "marked", lambda runs, docs: sizes.append(len(docs)) or marked(runs, docs))
+
+    def found():
+        return {block: sorted(zip(*map(np.ndarray.tolist, blocks.spread(data)))) for block, data in suffixes.merge_runs(rows)}
+
+    whole = found()
+    assert len(sizes) == 1 and len(whole) == 6
+    monkeypatch.setattr(suffixes, "MERGED", 1024)
+    assert found() == whole and max(sizes[1:]) < 2048 and sum(sizes[1:]) == sizes[0]
+
+
+def test_places_are_searched_in_slices(monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.integers(97, 100, n, "u1").tobytes()) for k, n in enumerate([0, 49, 50, 51, 3000, 10, 700])]
+    whole = suffixes.Bytes(rows)
+    assert set(whole.doc.tolist()) == {2, 3, 4, 6}
+    for places in (1, 37, 100, 1000):
+        monkeypatch.setattr(suffixes, "PLACES", places)
+        sliced = suffixes.Bytes(rows)
+        for name in ("anchor", "far", "near", "doc", "key", "head"):
+            assert (getattr(sliced, name) == getattr(whole, name)).all()

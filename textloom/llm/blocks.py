@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.common import quoted
+from textloom.llm.common import give_back, quoted
 
 BLOCK_BYTES = 4_000_000
 
@@ -105,6 +105,7 @@ def with_replies(blocks: DataFrame, replies: DataFrame, do, schema) -> DataFrame
                     answers.append(data.as_py())
         if payload is not None:
             yield do(block, unpack(payload), answers)
+        give_back()
 
     return both.repartition("block").sortWithinPartitions("block", "reply").mapInArrow(function, schema)
 
@@ -126,6 +127,7 @@ def send(blocks: DataFrame, say, replies: DataFrame | None = None) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 yield made(batch.column(0)[i].as_py(), unpack(batch.column(1)[i].as_py()), [])
+        give_back()
 
     return blocks.mapInArrow(function, schema)
 
@@ -136,8 +138,10 @@ def answer(sent: DataFrame, find) -> DataFrame:
     import pyarrow as pa
 
     def function(key, table):
-        rows = sorted(zip(table.column(1).to_pylist(), table.column(2).to_pylist()))
-        out = list(find(rows))
+        said = table.column(1).to_pylist()
+        data = [value.as_buffer() for value in table.column(2)]  # where the table has it, not copied
+        out = list(find([(said[k], data[k]) for k in sorted(range(len(said)), key=said.__getitem__)]))
+        give_back()
         return pa.table([pa.array([b for b, _ in out], pa.int64()), pa.array([d for _, d in out], pa.binary())], names=["block", "data"])
 
     return sent.groupBy("part").applyInArrow(function, "block long, data binary")

@@ -11,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.session import remove, scratch_path
+from textloom.session import remove, scratch_path, write
 
 
 def _kept(df: DataFrame, made: list[str]) -> DataFrame:
     made.append(scratch_path(df.sparkSession, "links"))
-    df.write.parquet(made[-1])
+    write(df, made[-1])
     return df.sparkSession.read.schema(df.schema).parquet(made[-1])
 
 

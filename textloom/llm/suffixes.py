@@ -30,7 +30,14 @@ WIDE = LENGTH + LEFT + 2
 many of each are inside."""
 SAMPLES = 32
 """Places of the order that each block tells, to cut it in ranges."""
-PORTION = 1 << 20
+PLACES = 1 << 19
+"""So many bytes of a block are searched for anchors at a time."""
+PLACE_BITS = 20
+MERGED = 1 << 17
+"""About so many suffixes of a range are merged at a time, more where more begin with the same SEED bytes."""
+SAMPLED = 64
+PART_BLOCKS = 4
+"""No range is for more than the suffixes of so many blocks on average."""
 
 
 class Bytes:
@@ -45,35 +52,46 @@ class Bytes:
         ends = LENGTH + np.cumsum(sizes + 1) - 1
         self.first, self.sizes = ends - sizes, sizes
         self.ids = np.array([-(1 << 63) if d is None else d for d, _ in rows], "i8")
-        n = len(text)
-        x = text.astype("u8")
+        windows = self.first, ends - LENGTH + 1  # from the first that starts in a document to behind the last
+        found = [self._anchors(start, min(start + PLACES, len(text) - LENGTH), *windows) for start in range(LENGTH, len(text) - LENGTH, PLACES)]
+        anchor, begin, last, key, head = (np.concatenate([np.zeros(0, kind), *[f[k] for f in found]]) for k, kind in enumerate(("i8", "i8", "i8", "u8", "u8")))
+        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (begin[1:] != last[:-1] + 1)])[:len(anchor)]  # where slices meet, the two may be one
+        begun = np.flatnonzero(new)
+        self.anchor, self.key, self.head = anchor[begun], key[begun], head[begun]  # the head: the eight bytes from the anchor, as a number
+        self.far, self.near = self.anchor - begin[begun], self.anchor - last[np.append(begun[1:], len(new))[:len(begun)] - 1]  # from the windows' first bytes to the anchor
+        self.doc = np.searchsorted(ends, self.anchor)
+
+    def _anchors(self, start, end, first, behind):
+        """Of the windows that begin at the places ``start`` to ``end``: the anchors, the first and last window of each, their
+        hashes and the eight bytes there."""
+        import numpy as np
+
+        some = slice(np.searchsorted(behind, start, side="right"), np.searchsorted(first, end))
+        first, behind = first[some], behind[some]
+        long = behind > first
+        edges = np.zeros(end - start + 1, "i4")
+        edges[np.clip(first[long], start, end) - start] += 1
+        edges[np.clip(behind[long], start, end) - start] -= 1
+        place = np.flatnonzero(np.cumsum(edges[:-1], dtype="i4"))
+        if not len(place):
+            return tuple(np.zeros(0, kind) for kind in ("i8", "i8", "i8", "u8", "u8"))
+        x = self.text[start:end + LENGTH - 1].astype("u8")
         for step in (1, 2, 4):
             x = x[:-step] << np.uint64(8 * step) | x[step:]
         hashed = mixed(x[:-8] ^ mixed(x[8:], 5), 6)
-        bits = np.uint64(max(1, n.bit_length()))
-        keyed = hashed >> bits << bits | np.arange(len(hashed), dtype="u8")
+        bits = np.uint64(PLACE_BITS)
+        least = hashed >> bits << bits | np.arange(len(hashed), dtype="u8")
         width = LENGTH - SEED + 1
         reach = 1
-        least = keyed
         while 2 * reach <= width:
             least = np.minimum(least[:-reach], least[reach:])
             reach *= 2
         if reach < width:
             least = np.minimum(least[:len(least) - (width - reach)], least[width - reach:])
-        del keyed
-        anchor = (least & (np.uint64(1) << bits) - np.uint64(1)).astype("i8")  # by the window's first byte
-        del least
-        starts = np.repeat(self.first - np.concatenate([[0], np.cumsum(np.maximum(sizes - LENGTH + 1, 0))[:-1]]), np.maximum(sizes - LENGTH + 1, 0)) if len(sizes) else np.zeros(0, "i8")
-        place = np.arange(len(starts)) + starts  # the windows inside one document
-        of = anchor[place]
-        del anchor, starts
-        new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (place[1:] != place[:-1] + 1)])) if len(place) else np.zeros(0, "i8")
-        last = np.append(new[1:], len(place))[:len(new)] - 1
-        self.anchor = of[new]
-        self.far, self.near = self.anchor - place[new], self.anchor - place[last]  # from the windows' first bytes to the anchor
-        self.doc = np.searchsorted(ends, self.anchor)
-        self.key = hashed[self.anchor]
-        self.head = x[self.anchor]  # the eight bytes from the anchor, as a number
+        of = (least[place] & (np.uint64(1) << bits) - np.uint64(1)).astype("i8")
+        new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (place[1:] != place[:-1] + 1)]))
+        last = np.append(new[1:], len(place)) - 1
+        return of[new] + start, place[new] + start, place[last] + start, hashed[of[new]], x[of[new]]
 
     def suffixes(self, some):
         """The suffixes of the anchors with numbers ``some``, one row of WIDE bytes each."""
@@ -115,18 +133,54 @@ def front_code(suffixes):
     return shared, suffixes[np.arange(WIDE) >= shared[:, None]]
 
 
+class Run:
+    """Front-coded suffixes, decoded up to one key after another."""
+
+    def __init__(self, shared, rest):
+        self.shared, self.data = shared.tobytes(), rest.tobytes()
+        self.rewind()
+
+    def rewind(self) -> None:
+        self.next, self.at, self.before = 0, 0, b""
+
+    def take(self, until: bytes | None = None) -> tuple[list[bytes], bytes]:
+        """The suffixes before ``until`` that were not taken yet, and what each shares with the one before."""
+        out, shared, data = [], self.shared, self.data
+        k, at, before = self.next, self.at, self.before
+        while k < len(shared):
+            s = shared[k]
+            end = at + WIDE - s
+            value = before[:s] + data[at:end]
+            if until is not None and value >= until:
+                break
+            out.append(value)
+            k, at, before = k + 1, end, value
+        some = shared[self.next:k]
+        self.next, self.at, self.before = k, at, before
+        return out, some
+
+
 def decode(shared, rest) -> list[bytes]:
     """The suffixes again."""
-    out, at, before, data = [], 0, b"", rest.tobytes()
-    for s in shared.tolist():
-        end = at + WIDE - s
-        before = before[:s] + data[at:end]
-        out.append(before)
-        at = end
-    return out
+    return Run(shared, rest).take()[0]
 
 
-def merge(runs: list[tuple[list[bytes], list[int]]]):
+def portions(runs: list[Run]) -> list[bytes | None]:
+    """Keys of SEED bytes that cut all suffixes of the runs in portions of about MERGED, and a last one without end. Suffixes
+    that begin alike stay together."""
+    sample, seen = [], 0
+    if sum(len(r.shared) for r in runs) > MERGED:
+        for run in runs:
+            items = run.take()[0]
+            run.rewind()
+            sample += [x[:SEED] for x in items[-seen % SAMPLED::SAMPLED]]
+            seen += len(items)
+        sample.sort()
+    step = max(1, MERGED // SAMPLED)
+    return [*sorted(set(sample[step::step])), None]
+
+
+def merge(runs: list[tuple[list[bytes], list[int] | bytes]]):
     """The order of all suffixes of sorted runs: the run of each, and how much it shares with the one before.
 
     ``know[r]`` is what the head of run ``r`` shares with the last suffix put out. Of two heads the one that
@@ -207,45 +261,33 @@ def shared_windows(suffixes, least, shares):
     document has too."""
     import numpy as np
 
-    n = len(suffixes)
-    out = np.zeros(n, "u8")
+    out = np.zeros(len(suffixes), "u8")
     after = np.append(shares[1:], 0)
     reach = np.minimum(np.maximum(np.where(shares >= SEED, shares, 0), np.where(after >= SEED, after, 0)), LENGTH)
     low = np.maximum(LENGTH - suffixes[:, -2].astype("i8"), LENGTH - reach)
-    spans = np.where(reach > 0, np.maximum(suffixes[:, -1].astype("i8") - low + 1, 0), 0)
-    group = np.cumsum(shares < SEED)
-    total = np.cumsum(spans)
-    start = 0
-    while start < n:  # whole groups, about PORTION windows at a time
-        end = int(np.searchsorted(total, (total[start - 1] if start else 0) + PORTION, side="right"))
-        end = max(end, start + 1)
-        end = int(np.searchsorted(group, group[min(end, n) - 1], side="right"))
-        count = spans[start:end]
-        who = np.repeat(np.arange(start, end), count)
-        if len(who):
-            offset = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count) + low[who]
-            whole = np.concatenate([suffixes[start:end, LENGTH:LENGTH + LEFT][:, ::-1], suffixes[start:end, :LENGTH]], axis=1)
-            windows = np.lib.stride_tricks.sliding_window_view(whole, LENGTH, axis=1)[who - start, LEFT - offset]
-            kinds = np.unique(np.ascontiguousarray(windows).view(f"S{LENGTH}").ravel(), return_inverse=True)[1]
-            best = np.full(kinds.max() + 1, np.iinfo("i8").max)
-            np.minimum.at(best, kinds, least[who])
-            some = best[kinds] < least[who]
-            np.bitwise_or.at(out, who[some], np.uint64(1) << offset[some].astype("u8"))
-        start = end
+    high = np.where(reach > 0, suffixes[:, -1].astype("i8"), -1)
+    for offset in range(LEFT + 1):  # equal windows have their anchors at the same offset
+        who = np.flatnonzero((low <= offset) & (offset <= high))
+        if not len(who):
+            continue
+        windows = np.empty((len(who), LENGTH), "u1")
+        windows[:, :LENGTH - offset] = suffixes[who, :LENGTH - offset]
+        windows[:, LENGTH - offset:] = suffixes[who, LENGTH:LENGTH + offset]
+        kinds = np.unique(windows.view(f"S{LENGTH}").ravel(), return_inverse=True)[1]
+        best = np.full(kinds.max() + 1, np.iinfo("i8").max)
+        np.minimum.at(best, kinds, least[who])
+        out[who[best[kinds] < least[who]]] |= np.uint64(1 << offset)
     return out
 
 
-def merge_runs(rows):
-    """For each block the suffixes with windows that a smaller document has, by name, and those windows."""
+def marked(runs: list[tuple[list[bytes], bytes]], docs):
+    """Of suffixes of sorted runs, given with the smallest document of each in the runs' order: their bytes, and as bits the
+    offsets of the windows that a smaller document has."""
     import numpy as np
 
-    found = [spread(data) for _, data in rows]
-    runs = [(decode(shared, rest), shared.tolist()) for shared, rest, _ in found]
     order, shares = merge(runs)
-    order, shares = np.array(order, "i8"), np.array(shares, "i8")
+    order, shares = np.array(order, "i4"), np.array(shares, "u1")
     text = np.frombuffer(b"".join(x for items, _ in runs for x in items), "u1").reshape(-1, WIDE)
-    doc = np.concatenate([d for _, _, d in found])
-    base = np.cumsum([0, *[len(d) for _, _, d in found]])
     by_run = np.argsort(order, kind="stable")  # the places of each run's suffixes, in the run's order
     new = shares < WIDE
     new[:1] = True
@@ -253,15 +295,53 @@ def merge_runs(rows):
     at = np.empty(len(order), "i8")
     at[by_run] = np.arange(len(order))  # numbered through all runs
     first = np.flatnonzero(new)
-    least = np.minimum.reduceat(doc[at], first)
-    windows = shared_windows(text[at[first]], least, shares[first])
+    least = np.minimum.reduceat(docs[at], first)
+    windows = shared_windows(text[at[first]], least, shares[first].astype("i8"))
     masks = np.empty(len(order), "u8")
-    masks[at] = np.where(doc[at] > least[kind], np.uint64((1 << 64) - 1), windows[kind])
-    for k, (block, _) in enumerate(rows):
-        mask = masks[base[k]:base[k + 1]]
-        some = np.flatnonzero(mask)
-        if len(some):
-            yield block, press(names(text[base[k]:base[k + 1]][some]), mask[some])
+    masks[at] = np.where(docs[at] > least[kind], np.uint64((1 << 64) - 1), windows[kind])
+    return text, masks
+
+
+def merge_runs(rows):
+    """For each block the suffixes with windows that a smaller document has, by name, and those windows. A range is merged
+    portion by portion: its runs are held as they came, decoded is one portion of them."""
+    import numpy as np
+
+    runs, docs = [], []
+    for _, data in rows:
+        shared, rest, ids = spread(data)
+        runs.append(Run(shared, rest))
+        docs.append(ids)
+    found = [[] for _ in runs]
+    for until in portions(runs):
+        begun = [r.next for r in runs]
+        taken = [r.take(until) for r in runs]
+        some = [k for k, (items, _) in enumerate(taken) if items]
+        if not some:
+            continue
+        text, masks = marked([taken[k] for k in some], np.concatenate([docs[k][begun[k]:runs[k].next] for k in some]))
+        name = np.zeros(len(masks), "u8")
+        hit = np.flatnonzero(masks)
+        name[hit] = names(text[hit])
+        start = 0
+        for k in some:
+            end = start + len(taken[k][0])
+            mine = hit[np.searchsorted(hit, start):np.searchsorted(hit, end)]
+            if len(mine):
+                found[k].append((name[mine], masks[mine]))
+            start = end
+    for (block, _), pieces in zip(rows, found):
+        if pieces:
+            yield block, press(*[np.concatenate(x) for x in zip(*pieces)])
+
+
+def dealt(keys, parts: int):
+    """The part of each of the sorted keys, and their order by it. Anchors have the least hashes of many, so the part goes by
+    a hash of the hash: a range of equal width at the low end would hold most."""
+    import numpy as np
+
+    part = to_parts(mixed(keys >> np.uint64(16), 8), parts)
+    return part, np.argsort(part, kind="stable")
 
 
 def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -269,8 +349,8 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
     import numpy as np
     from pyspark.sql import functions as F
 
-    parts = parts_of(docs)
     blocks = materialize(pack(docs, doc, text), "blocks")
+    parts = max(parts_of(docs), -(-blocks.count() // PART_BLOCKS))
 
     def say_anchors(rows, _):
         import numpy as np
@@ -280,8 +360,7 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
         last = np.zeros(len(keys), "i8")
         last[at] = np.arange(len(at))  # documents are in the order of their ids
         several = data.ids[data.doc[first]] != data.ids[data.doc[last]]
-        part = to_parts(keys, parts)
-        for number, (k, often) in split_by(part, np.arange(len(keys)), keys >> np.uint64(16) << np.uint64(16), several.astype("u1")):
+        for number, (k, often) in split_by(*dealt(keys, parts), keys >> np.uint64(16) << np.uint64(16), several.astype("u1")):
             yield number, press(k, often)
         if len(data.anchor):
             heads = np.sort(data.head)
@@ -335,13 +414,12 @@ def remove_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text") ->
             known, masks = known[order], masks[order]
             place = np.minimum(np.searchsorted(known, name), len(known) - 1)
             some = np.flatnonzero((known[place] == name) & ~whole)
-            bits = masks[place[some]][:, None] >> np.arange(LEFT + 1, dtype="u8") & np.uint64(1)
-            inside = (np.arange(LEFT + 1) >= data.near[some][:, None]) & (np.arange(LEFT + 1) <= data.far[some][:, None])
-            row, offset = np.nonzero((bits > 0) & inside)
-            start = data.anchor[some[row]] - offset
-            np.add.at(marks, start, 1)
-            np.add.at(marks, start + LENGTH, -1)
-        keep = np.cumsum(marks) == 0
+            for offset in range(LEFT + 1):
+                hit = some[masks[place[some]] >> np.uint64(offset) & np.uint64(1) > 0]
+                start = data.anchor[hit[(offset >= data.near[hit]) & (offset <= data.far[hit])]] - offset
+                np.add.at(marks, start, 1)
+                np.add.at(marks, start + LENGTH, -1)
+        keep = np.cumsum(marks, dtype="i4") == 0
         edges = np.diff(keep.view("i1"))
         for (key, value), start, size in zip(rows, data.first.tolist(), data.sizes.tolist()):
             own = keep[start:start + size]

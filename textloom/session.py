@@ -68,11 +68,26 @@ def scratch_tables(spark: SparkSession) -> Iterator[None]:
         _MADE.reset(held)
 
 
+DROPS_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def write(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet. The shuffle files of its plan go when it stands; else they stay on the executors' disks until
+    the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(DROPS_SHUFFLES, "false")
+    conf.set(DROPS_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(DROPS_SHUFFLES, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: computed once, short lineage,
     survives the loss of any executor."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    write(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -81,7 +96,7 @@ def settled(spark: SparkSession, name: str, make: Callable[[], DataFrame]) -> Da
     path = scratch_path(spark, name)
     with scratch_tables(spark):
         df = make()
-        df.write.parquet(path)
+        write(df, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
