@@ -97,3 +97,37 @@ def test_many_copies_are_one_vector(spark, folder):
     rows = spark.createDataFrame([(i, v.tolist()) for i in range(300)], "vec_id long, embedding array<float>")
     made = vectors.prepared(rows.withColumnRenamed("vec_id", "_id"), "embedding")
     assert made.select("vec").distinct().count() == 1
+
+
+def test_rounds_hold_a_bounded_volume(spark, folder, monkeypatch):
+    assert vectors.rounds({0: 10, 1: 20}) == [([0, 1], 0, 1)]
+    monkeypatch.setattr(vectors, "ROUND_BYTES", 100)
+    assert vectors.rounds({0: 60, 1: 30, 2: 250, 3: 20}) == [([2], 0, 3), ([2], 1, 3), ([2], 2, 3), ([0, 1], 0, 1), ([3], 0, 1)]
+    monkeypatch.setattr(vectors, "ROUND_BYTES", 100_000)
+    monkeypatch.setattr(vectors, "CELL_ROWS", 40)
+    sent = []
+    made = vectors._links
+    monkeypatch.setattr(vectors, "_links", lambda *a: sent.append(a[-2:]) or made(*a))
+    check(spark, folder, clusters(12, 150, 8))
+    assert len(sent) > 2
+
+
+def test_near_pairs_finds_all(monkeypatch):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(700, 5)).astype("f4")
+    monkeypatch.setattr(vectors, "LEAF", 20)
+    square = ((x[:, None].astype("f8") - x) ** 2).sum(axis=2)
+    every, some = np.arange(700), rng.permutation(700)
+
+    def found(left, right):
+        pairs = [(int(a), int(b)) for p, q in vectors.near_pairs(x, left, right, 0.5) for a, b in zip(p, q)]
+        assert len(pairs) == len(set(pairs))
+        return set(pairs)
+
+    want = {(int(a), int(b)) for a, b in zip(*np.nonzero(square <= 0.4999))}
+    loose = {(int(a), int(b)) for a, b in zip(*np.nonzero(square <= 0.5001))}
+    same = found(every, every)
+    assert {(a, b) for a, b in want if a < b} <= {(min(p), max(p)) for p in same} <= loose
+    left, right = some[:300], some[300:]
+    across = {(a, b) for a, b in want if a in set(left.tolist()) and b in set(right.tolist())}
+    assert across <= found(left, right) <= loose and across
