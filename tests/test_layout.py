@@ -250,3 +250,22 @@ def test_negatives_take_room_for_some_points_only():
     umap = L.Umap(20_000, steps=2, sample=np.random.default_rng(1).normal(size=(4000, 2)))
     assert np.array_equal(umap._push(b.rows, b.spot, 3)[:3000], umap._push(few.rows, few.spot, 3))
     assert peak(lambda: umap.move(b, 0)) < 40e6
+
+
+def test_springs_are_sums_of_edges(monkeypatch):
+    """Column by column and in parts, springs are what a loop over the edges adds up."""
+    rng = np.random.default_rng(11)
+    n, ghosts, edges = 6, 4, 40
+    src, dst, weight = rng.integers(0, n, edges), rng.integers(0, n + ghosts, edges), rng.random(edges)
+    places = rng.normal(size=(n + ghosts, 2))
+    block = L.Block(np.arange(n), places[:n], np.zeros((n, 4)), src, dst, weight, places[n:], np.zeros((n, 3)))
+    monkeypatch.setattr(L, "EDGES", 7)
+    want = np.zeros((n + ghosts, 4))
+    for s, d, w in zip(src, dst, weight):
+        square = ((places[s] - places[d]) ** 2).sum()
+        want[s] += [w * square, *(w * square * places[d]), w]
+        want[d] += [w * square, *(w * square * places[s]), w]
+    own, far = block.pulled(lambda part, square: (weight[part] * square, weight[part]), places, width=4)
+    assert np.allclose(own, want[:n]) and np.allclose(far, want[n:])
+    near, none = block.pulled(lambda part, square: (weight[part] * square, weight[part]), places, width=4, far=False)
+    assert np.allclose(near, want[:n]) and not len(none)

@@ -83,13 +83,19 @@ class Block:
         more columns to be added up if a spring is wider."""
         n = len(self.rows)
         own, both = np.zeros((n, width)), np.zeros((len(places) if far else n + 1, width))
+        x, y = np.ascontiguousarray(places[:, 0]), np.ascontiguousarray(places[:, 1])
         for start in range(0, len(self.src), EDGES):
             part = slice(start, start + EDGES)
             src, dst = self.src[part], self.dst[part]
-            at_src, at_dst = places[src], places[dst]
-            strength, *more = pull(part, ((at_src - at_dst) ** 2).sum(axis=1)) if callable(pull) else (pull[part],)
-            both += totals(dst if far else np.minimum(dst, n), np.column_stack([strength, strength[:, None] * at_src, *more]), len(both))
-            own += totals(src, np.column_stack([strength, strength[:, None] * at_dst, *more]), n)
+            x_src, y_src, x_dst, y_dst = x[src], y[src], x[dst], y[dst]
+            strength, *more = pull(part, (x_src - x_dst) ** 2 + (y_src - y_dst) ** 2) if callable(pull) else (pull[part],)
+            more = list(np.column_stack(more).T) if more else []
+            at = dst if far else np.minimum(dst, n)
+            # Column by column: rows of a few numbers are slow to gather and to add up.
+            for c, values in enumerate([strength, strength * x_src, strength * y_src, *more]):
+                both[:, c] += np.bincount(at, values, len(both))
+            for c, values in enumerate([strength, strength * x_dst, strength * y_dst, *more]):
+                own[:, c] += np.bincount(src, values, n)
         return both[:n] + own, both[n:len(places)] if far else both[:0]
 
 
