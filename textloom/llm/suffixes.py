@@ -36,7 +36,7 @@ PLACE_BITS = 20
 MERGED = 1 << 17
 """About so many suffixes of a range are merged at a time, more where more begin with the same SEED bytes."""
 SAMPLED = 64
-PART_BLOCKS = 4
+PART_BLOCKS = 2
 """No range is for more than the suffixes of so many blocks on average."""
 
 
